@@ -175,6 +175,30 @@ def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["ads_coupon_stats"] = lambda w: ads.coupon_stats(w.coupon_nd(), w.d)
     q["ads_activity_stats"] = lambda w: ads.activity_stats(w.activity_nd(), w.d)
     q["ads_sku_cart_num_top3_by_cate"] = lambda w: ads.sku_cart_num_top3_by_cate(w.b.cart_full(w.d), w.dim_sku(), w.d)
+    # ---- DWD traffic and users (all days: the back-fill form, one partition per day)
+    q["dwd_traffic_page_view_inc"] = lambda w: w.page_view()
+    q["dwd_traffic_start_inc"] = lambda w: dwd.traffic_start(w.b.ods_log(), w.b.ods_province())
+    q["dwd_traffic_action_inc"] = lambda w: dwd.traffic_action(w.b.ods_log(), w.b.ods_province())
+    q["dwd_traffic_display_inc"] = lambda w: dwd.traffic_display(w.b.ods_log(), w.b.ods_province())
+    q["dwd_traffic_error_inc"] = lambda w: dwd.traffic_error(w.b.ods_log(), w.b.ods_province())
+    q["dwd_user_register_inc"] = lambda w: w.register()
+    q["dwd_user_login_inc"] = lambda w: w.login()
+    q["sessionize_running_sum"] = lambda w: dwd.session_running_count(w.b.ods_log())
+    # ---- DWS traffic / users
+    q["dws_traffic_session_page_view_1d"] = lambda w: w.session_1d()
+    q["dws_traffic_page_visitor_page_view_1d"] = lambda w: w.visitor_1d()
+    q["dws_traffic_page_visitor_page_view_nd"] = lambda w: w.visitor_nd()
+    q["dws_user_user_login_td"] = lambda w: w.login_td()
+    # ---- ADS traffic / users
+    q["ads_traffic_stats_by_channel"] = lambda w: ads.traffic_stats_by_channel(w.session_1d(*w._w30(w.t)), w.t)
+    q["ads_page_path"] = lambda w: ads.page_path(w.page_view(*w._w30(w.t)), w.t)
+    q["ads_user_change"] = lambda w: ads.user_change(w.login_td(w.t), w.login_td(shift_date(w.t, -1)), w.t)
+    q["ads_user_retention"] = lambda w: ads.user_retention(w.register(shift_date(w.t, -7), w.t), w.login_td(w.t), w.t)
+    q["ads_user_stats"] = lambda w: ads.user_stats(w.register(None, w.t), w.login_td(w.t), w.t)
+    q["user_stats_filter_form"] = lambda w: ads.user_stats_filter_form(w.register(None, w.t), w.login_td(w.t), w.t)
+    q["ads_user_action"] = lambda w: ads.user_action(
+        w.visitor_1d(w.t, w.t), w.visitor_nd(), w.cart_add_1d(w.t, w.t), w.cart_add_nd(),
+        w.user_order_1d(w.t, w.t), w.user_order_nd(), w.payment_1d(w.t, w.t), w.payment_nd(), w.t)
     return {name: _w(fn) for name, fn in q.items()}
 
 
