@@ -16,6 +16,8 @@ WAREHOUSE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # partition overwrite only replaces the partitions a write touches
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # dt=yyyy-MM-dd folders stay STRING (inference would make them DATE)
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
 }
