@@ -254,57 +254,72 @@ def trade_cart_full(cart_full_snapshot: DataFrame, do_date: str | None = None) -
 
 
 # ------------------------------------------------------------ tool / interaction
-def tool_coupon_get(coupon_use_inc: DataFrame, do_date: str | None = None) -> DataFrame:
-    """F8: coupons received."""
-    c = _day(coupon_use_inc, do_date).where(F.col("type") == "insert")
-    return c.select(
+def _first_day_dt(df: DataFrame, first_day: bool) -> DataFrame:
+    """First-day form: rows go to the partition of their own business day."""
+    return df.withColumn("dt", F.col("date_id")) if first_day else df
+
+
+def tool_coupon_get(coupon_use_inc: DataFrame, do_date: str | None = None, first_day: bool = False) -> DataFrame:
+    """F8: coupons received (first day: every bootstrapped coupon use, by receive day)."""
+    c = _day(coupon_use_inc, do_date).where(F.col("type") == ("bootstrap-insert" if first_day else "insert"))
+    return _first_day_dt(c.select(
         F.col("data.id").alias("id"), F.col("data.coupon_id").alias("coupon_id"), F.col("data.user_id").alias("user_id"),
         date_of_text("data.get_time").alias("date_id"), F.col("data.get_time").alias("get_time"), "dt",
-    )
+    ), first_day)
 
 
-def tool_coupon_order(coupon_use_inc: DataFrame, do_date: str | None = None) -> DataFrame:
-    """coupons used when ordering (``using_time`` changed)."""
-    c = _day(coupon_use_inc, do_date).where((F.col("type") == "update") & change_has("old", "using_time"))
-    return c.select(
+def tool_coupon_order(coupon_use_inc: DataFrame, do_date: str | None = None, first_day: bool = False) -> DataFrame:
+    """coupons used when ordering (``using_time`` changed; first day: set)."""
+    if first_day:
+        cond = (F.col("type") == "bootstrap-insert") & F.col("data.using_time").isNotNull()
+    else:
+        cond = (F.col("type") == "update") & change_has("old", "using_time")
+    c = _day(coupon_use_inc, do_date).where(cond)
+    return _first_day_dt(c.select(
         F.col("data.id").alias("id"), F.col("data.coupon_id").alias("coupon_id"), F.col("data.user_id").alias("user_id"),
         F.col("data.order_id").alias("order_id"), date_of_text("data.using_time").alias("date_id"),
         F.col("data.using_time").alias("order_time"), "dt",
-    )
+    ), first_day)
 
 
-def tool_coupon_pay(coupon_use_inc: DataFrame, do_date: str | None = None) -> DataFrame:
-    """coupons used at payment (``used_time`` changed)."""
-    c = _day(coupon_use_inc, do_date).where((F.col("type") == "update") & change_has("old", "used_time"))
-    return c.select(
+def tool_coupon_pay(coupon_use_inc: DataFrame, do_date: str | None = None, first_day: bool = False) -> DataFrame:
+    """coupons used at payment (``used_time`` changed; first day: set)."""
+    if first_day:
+        cond = (F.col("type") == "bootstrap-insert") & F.col("data.used_time").isNotNull()
+    else:
+        cond = (F.col("type") == "update") & change_has("old", "used_time")
+    c = _day(coupon_use_inc, do_date).where(cond)
+    return _first_day_dt(c.select(
         F.col("data.id").alias("id"), F.col("data.coupon_id").alias("coupon_id"), F.col("data.user_id").alias("user_id"),
         F.col("data.order_id").alias("order_id"), date_of_text("data.used_time").alias("date_id"),
         F.col("data.used_time").alias("payment_time"), "dt",
-    )
+    ), first_day)
 
 
-def interaction_favor_add(favor_inc: DataFrame, do_date: str | None = None) -> DataFrame:
+def interaction_favor_add(favor_inc: DataFrame, do_date: str | None = None, first_day: bool = False) -> DataFrame:
     """favourites added."""
-    c = _day(favor_inc, do_date).where(F.col("type") == "insert")
-    return c.select(
+    c = _day(favor_inc, do_date).where(F.col("type") == ("bootstrap-insert" if first_day else "insert"))
+    return _first_day_dt(c.select(
         F.col("data.id").alias("id"), F.col("data.user_id").alias("user_id"), F.col("data.sku_id").alias("sku_id"),
         date_of_text("data.create_time").alias("date_id"), F.col("data.create_time").alias("create_time"), "dt",
-    )
+    ), first_day)
 
 
-def interaction_comment(comment_inc: DataFrame, dictionary: DataFrame, do_date: str | None = None) -> DataFrame:
+def interaction_comment(comment_inc: DataFrame, dictionary: DataFrame, do_date: str | None = None,
+                        first_day: bool = False) -> DataFrame:
     """comments ⟕ appraise dictionary (parent 12)."""
-    c = _day(comment_inc, do_date).where(F.col("type") == "insert").select(
+    kind = "bootstrap-insert" if first_day else "insert"
+    c = _day(comment_inc, do_date).where(F.col("type") == kind).select(
         F.col("data.id").alias("id"), F.col("data.user_id").alias("user_id"), F.col("data.sku_id").alias("sku_id"),
         F.col("data.order_id").alias("order_id"), F.col("data.create_time").alias("create_time"),
         F.col("data.appraise").alias("appraise_code"), "dt",
     )
     dic = _dic(dictionary, DIC_APPRAISE, "__a", "appraise_name")
     j = c.join(dic, c.appraise_code == F.col("__a"), "left")
-    return j.select(
+    return _first_day_dt(j.select(
         "id", "user_id", "sku_id", "order_id", date_of_text("create_time").alias("date_id"), "create_time",
         "appraise_code", "appraise_name", "dt",
-    )
+    ), first_day)
 
 
 # ------------------------------------------------------------------ traffic

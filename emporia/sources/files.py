@@ -22,6 +22,14 @@ def _with_dt(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField("dt", T.StringType(), True)])
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` exists on its file system (local, HDFS or object store)."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(jpath))
+
+
 def _paths(root: str, table: str, days: Iterable[str] | None) -> tuple[list[str], str]:
     base = f"{root.rstrip('/')}/{table}"
     if days is None:
@@ -29,32 +37,40 @@ def _paths(root: str, table: str, days: Iterable[str] | None) -> tuple[list[str]
     return [f"{base}/dt={d}" for d in days], base
 
 
+def _load(spark: SparkSession, reader, schema: T.StructType, paths: list[str]) -> DataFrame:
+    """Read the existing day folders; a missing day is an empty input, not an error."""
+    present = [p for p in paths if path_exists(spark, p)]
+    if not present:
+        return spark.createDataFrame([], schema)
+    return reader(present)
+
+
 def read_snapshot(spark: SparkSession, root: str, table: str, days: Iterable[str] | None = None) -> DataFrame:
     """A daily full snapshot — tab-delimited (gzip or plain), empty field = NULL."""
     schema = _with_dt(schemas.struct_of(schemas.SNAPSHOTS[table]))
     paths, base = _paths(root, f"ods_{table}_full", days)
-    return (
+    reader = (
         spark.read.schema(schema)
         .option("sep", "\t")
         .option("nullValue", "")
         .option("basePath", base)
         .option("mode", "PERMISSIVE")
-        .csv(paths)
     )
+    return _load(spark, reader.csv, schema, paths)
 
 
 def read_changes(spark: SparkSession, root: str, table: str, days: Iterable[str] | None = None) -> DataFrame:
     """Change records ``{type, ts, data, old}`` (one JSON object per line)."""
     schema = _with_dt(schemas.struct_of(schemas.change_schema(table)))
     paths, base = _paths(root, f"ods_{table}_inc", days)
-    return spark.read.schema(schema).option("basePath", base).json(paths)
+    return _load(spark, spark.read.schema(schema).option("basePath", base).json, schema, paths)
 
 
 def read_log(spark: SparkSession, root: str, days: Iterable[str] | None = None) -> DataFrame:
     """S3: the nested app log; missing keys become NULL, key order is irrelevant."""
     schema = _with_dt(schemas.struct_of(schemas.LOG))
     paths, base = _paths(root, "ods_log_inc", days)
-    return spark.read.schema(schema).option("basePath", base).json(paths)
+    return _load(spark, spark.read.schema(schema).option("basePath", base).json, schema, paths)
 
 
 def normalize_types(df: DataFrame) -> DataFrame:
