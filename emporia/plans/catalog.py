@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from emporia.functions.spans import shift_date
 from emporia.operators import ads, dim, dwd, dws
 from emporia.sources.bench import TRADE_DO_DATE, TRAFFIC_DO_DATE, BenchTables
+from emporia.sources.bench_ods import BenchOds
 
 
 class Warehouse:
@@ -25,6 +26,10 @@ class Warehouse:
         self.t = traffic_date
 
     # -------------------------------------------------------------- windows
+    @property
+    def ods(self) -> BenchOds:
+        return BenchOds(self.b)
+
     def _w30(self, d: str) -> tuple[str, str]:
         return shift_date(d, -29), d
 
@@ -199,6 +204,42 @@ def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["ads_user_action"] = lambda w: ads.user_action(
         w.visitor_1d(w.t, w.t), w.visitor_nd(), w.cart_add_1d(w.t, w.t), w.cart_add_nd(),
         w.user_order_1d(w.t, w.t), w.user_order_nd(), w.payment_1d(w.t, w.t), w.payment_nd(), w.t)
+    # ---- DIM from raw snapshots / changes
+    q["dim_sku_full"] = lambda w: dim.sku_full(**{
+        k: v for k, v in zip(
+            ["sku_info", "spu_info", "category3", "category2", "category1", "trademark", "attr_value", "sale_attr_value"],
+            [w.ods.sku_snapshots()[t] for t in ["sku_info", "spu_info", "base_category3", "base_category2",
+                                                 "base_category1", "base_trademark", "sku_attr_value",
+                                                 "sku_sale_attr_value"]])})
+    q["dim_date"] = lambda w: dim.date_dim(w.b.raw("orders").selectExpr("date_format(o_orderdate, 'yyyy-MM-dd') AS date_id"))
+    q["dim_user_zip_init"] = lambda w: dim.user_zip_init(w.ods.user_info_inc(shift_date(w.d, -1), w.d), shift_date(w.d, -1))
+    q["dim_user_zip"] = lambda w: dim.user_zip(
+        dim.user_zip_init(w.ods.user_info_inc(shift_date(w.d, -1), w.d), shift_date(w.d, -1)).drop("dt"),
+        w.ods.user_info_inc(shift_date(w.d, -1), w.d), w.d)
+    # ---- DWD from raw change records (all days, or the report day for the status-change facts)
+    q["dwd_trade_cart_add_inc"] = lambda w: dwd.trade_cart_add(w.ods.cart_info_inc(), w.ods.dictionary())
+    q["dwd_trade_order_detail_inc"] = lambda w: dwd.trade_order_detail(
+        w.ods.order_detail_inc(), w.ods.order_info_inc(), w.ods.detail_activity_inc(), w.ods.detail_coupon_inc(),
+        w.ods.dictionary())
+    q["dwd_trade_cancel_detail_inc"] = lambda w: dwd.trade_cancel_detail(
+        w.ods.order_detail_inc(shift_date(w.d, -1), w.d), w.ods.order_info_inc(shift_date(w.d, -1), w.d),
+        w.ods.detail_activity_inc(shift_date(w.d, -1), w.d), w.ods.detail_coupon_inc(shift_date(w.d, -1), w.d),
+        w.ods.dictionary(), w.d)
+    q["dwd_trade_pay_detail_suc_inc"] = lambda w: dwd.trade_pay_detail(
+        w.ods.order_detail_inc(shift_date(w.d, -1), w.d), w.ods.order_info_inc(shift_date(w.d, -1), w.d),
+        w.ods.payment_info_inc(w.d, w.d), w.ods.detail_activity_inc(shift_date(w.d, -1), w.d),
+        w.ods.detail_coupon_inc(shift_date(w.d, -1), w.d), w.ods.dictionary(), w.d)
+    q["dwd_trade_order_refund_inc"] = lambda w: dwd.trade_order_refund(
+        w.ods.order_refund_info_inc(w.d, w.d), w.ods.order_info_inc(w.d, w.d), w.ods.dictionary(), w.d)
+    q["dwd_trade_refund_pay_suc_inc"] = lambda w: dwd.trade_refund_pay(
+        w.ods.refund_payment_inc(w.d, w.d), w.ods.order_info_inc(w.d, w.d), w.ods.order_refund_info_inc(w.d, w.d),
+        w.ods.dictionary(), w.d)
+    q["dwd_trade_cart_full"] = lambda w: dwd.trade_cart_full(w.ods.cart_info_full(w.d), w.d)
+    q["dwd_tool_coupon_get_inc"] = lambda w: dwd.tool_coupon_get(w.ods.coupon_use_inc())
+    q["dwd_tool_coupon_order_inc"] = lambda w: dwd.tool_coupon_order(w.ods.coupon_use_inc())
+    q["dwd_tool_coupon_pay_inc"] = lambda w: dwd.tool_coupon_pay(w.ods.coupon_use_inc())
+    q["dwd_interaction_favor_add_inc"] = lambda w: dwd.interaction_favor_add(w.ods.favor_info_inc())
+    q["dwd_interaction_comment_inc"] = lambda w: dwd.interaction_comment(w.ods.comment_info_inc(), w.ods.dictionary())
     return {name: _w(fn) for name, fn in q.items()}
 
 
