@@ -361,13 +361,22 @@ def _sessionized(log: DataFrame) -> DataFrame:
     )
 
 
-def traffic_page_view(log: DataFrame, province: DataFrame, do_date: str | None = None) -> DataFrame:
+def traffic_page_view(log: DataFrame, province: DataFrame, do_date: str | None = None,
+                      sessions: bool = True) -> DataFrame:
     """page views with session id and province.
 
     Besides the table's columns the raw ``ts`` (ms) is kept: ``view_time`` has
     second resolution, and ordered reports need an unambiguous order (V19).
+    ``sessions=False`` leaves ``session_id`` NULL and skips the ordered pass,
+    for consumers that never read it (device × page summaries).
     """
-    rows = _sessionized(_day(log, do_date))
+    if sessions:
+        rows = _sessionized(_day(log, do_date))
+    else:
+        rows = _day(log, do_date).where(F.col("page").isNotNull()).select(
+            *_common(), F.col("page.during_time").cast("bigint").alias("during_time"),
+            *[F.col(f"page.{src}").alias(dst) for src, dst in PAGE], "ts", "dt",
+        ).withColumn("session_id", F.lit(None).cast("string"))
     j = _with_province(rows, province)
     return j.select(
         *DEVICE_OUT, *PAGE_OUT, date_from_ms("ts").alias("date_id"), time_from_ms("ts").alias("view_time"),

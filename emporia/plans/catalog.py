@@ -18,12 +18,30 @@ from emporia.sources.bench import TRADE_DO_DATE, TRAFFIC_DO_DATE, BenchTables
 from emporia.sources.bench_ods import BenchOds
 
 
+def _shared(fn):
+    """Build a sub-plan once per ``Warehouse`` and arguments.
+
+    Handing the same DataFrame to several branches of one query gives Spark
+    identical sub-trees, which it plans once (``ReusedExchange``) instead of
+    recomputing the shared aggregation.
+    """
+    def wrapper(self, *args):
+        key = (fn.__name__, args)
+        if key not in self._memo:
+            self._memo[key] = fn(self, *args)
+        return self._memo[key]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, trade_date: str = TRADE_DO_DATE,
                  traffic_date: str = TRAFFIC_DO_DATE):
         self.b = BenchTables(spark, sf_dir)
         self.d = trade_date
         self.t = traffic_date
+        self._memo: dict = {}
 
     # -------------------------------------------------------------- windows
     @property
@@ -34,106 +52,143 @@ class Warehouse:
         return shift_date(d, -29), d
 
     # ----------------------------------------------------------- dimensions
+    @_shared
     def dim_sku(self) -> DataFrame:
         return self.b.dim_sku()
 
+    @_shared
     def dim_province(self) -> DataFrame:
         return dim.province_full(self.b.ods_province(), self.b.raw("region").selectExpr(
             "cast(r_regionkey as string) as id", "r_name as region_name"))
 
+    @_shared
     def dim_coupon(self) -> DataFrame:
         return dim.coupon_full(self.b.ods_coupon(), self.b.ods_dictionary())
 
+    @_shared
     def dim_activity(self) -> DataFrame:
         return dim.activity_full(self.b.ods_activity_rule(), self.b.ods_activity_info(), self.b.ods_dictionary())
 
     # ------------------------------------------------------------- 1-day trade
+    @_shared
     def sku_order_1d(self, start=None, end=None) -> DataFrame:
-        return dws.trade_user_sku_order_1d(self.b.order_detail(start, end), self.dim_sku())
+        return dws.trade_user_sku_order_1d(self.b.order_detail(start, end, province=False), self.dim_sku())
 
+    @_shared
     def sku_refund_1d(self, start=None, end=None) -> DataFrame:
-        return dws.trade_user_sku_order_refund_1d(self.b.refund_detail(start, end), self.dim_sku())
+        return dws.trade_user_sku_order_refund_1d(self.b.refund_detail(start, end, province=False), self.dim_sku())
 
+    @_shared
     def user_order_1d(self, start=None, end=None) -> DataFrame:
-        return dws.trade_user_order_1d(self.b.order_detail(start, end))
+        return dws.trade_user_order_1d(self.b.order_detail(start, end, province=False))
 
+    @_shared
     def cart_add_1d(self, start=None, end=None) -> DataFrame:
         return dws.trade_user_cart_add_1d(self.b.cart_add(start, end))
 
+    @_shared
     def payment_1d(self, start=None, end=None) -> DataFrame:
         return dws.trade_user_payment_1d(self.b.pay_detail(start, end))
 
+    @_shared
     def province_1d(self, start=None, end=None) -> DataFrame:
         return dws.trade_province_order_1d(self.b.order_detail(start, end), self.dim_province())
 
+    @_shared
     def user_refund_1d(self, start=None, end=None) -> DataFrame:
-        return dws.trade_user_order_refund_1d(self.b.refund_detail(start, end))
+        return dws.trade_user_order_refund_1d(self.b.refund_detail(start, end, province=False))
 
     # ------------------------------------------------------------- n-day trade
+    @_shared
     def sku_order_nd(self) -> DataFrame:
         return dws.trade_user_sku_order_nd(self.sku_order_1d(*self._w30(self.d)), self.d)
 
+    @_shared
     def sku_refund_nd(self) -> DataFrame:
         return dws.trade_user_sku_order_refund_nd(self.sku_refund_1d(*self._w30(self.d)), self.d)
 
+    @_shared
     def user_order_nd(self) -> DataFrame:
         return dws.trade_user_order_nd(self.user_order_1d(*self._w30(self.d)), self.d)
 
+    @_shared
     def cart_add_nd(self) -> DataFrame:
         return dws.trade_user_cart_add_nd(self.cart_add_1d(*self._w30(self.d)), self.d)
 
+    @_shared
     def payment_nd(self) -> DataFrame:
         return dws.trade_user_payment_nd(self.payment_1d(*self._w30(self.d)), self.d)
 
+    @_shared
     def province_nd(self) -> DataFrame:
         return dws.trade_province_order_nd(self.province_1d(*self._w30(self.d)), self.d)
 
+    @_shared
     def user_refund_nd(self) -> DataFrame:
         return dws.trade_user_order_refund_nd(self.user_refund_1d(*self._w30(self.d)), self.d)
 
+    @_shared
     def coupon_nd(self) -> DataFrame:
-        return dws.trade_coupon_order_nd(self.b.order_detail(*self._w30(self.d)), self.dim_coupon(), self.d)
+        return dws.trade_coupon_order_nd(self.b.order_detail(*self._w30(self.d), province=False), self.dim_coupon(), self.d)
 
+    @_shared
     def activity_nd(self) -> DataFrame:
-        return dws.trade_activity_order_nd(self.b.order_detail(*self._w30(self.d)), self.dim_activity(), self.d)
+        return dws.trade_activity_order_nd(self.b.order_detail(*self._w30(self.d), province=False), self.dim_activity(), self.d)
 
     # ----------------------------------------------------------- to-date trade
+    @_shared
     def order_td(self) -> DataFrame:
         """Daily merge: yesterday's state (rebuilt from history) ⟗ today's 1-day rows."""
         prev = shift_date(self.d, -1)
-        old = dws.trade_user_order_td_init(self.user_order_1d(None, prev), prev)
-        return dws.trade_user_order_td(old, self.user_order_1d(self.d, self.d), self.d)
+        hist = self.user_order_1d(None, self.d)
+        old = dws.trade_user_order_td_init(hist, prev)
+        return dws.trade_user_order_td(old, hist, self.d)
 
+    @_shared
     def payment_td(self) -> DataFrame:
         prev = shift_date(self.d, -1)
-        old = dws.trade_user_payment_td_init(self.payment_1d(None, prev), prev)
-        return dws.trade_user_payment_td(old, self.payment_1d(self.d, self.d), self.d)
+        hist = self.payment_1d(None, self.d)
+        old = dws.trade_user_payment_td_init(hist, prev)
+        return dws.trade_user_payment_td(old, hist, self.d)
 
     # ----------------------------------------------------------------- traffic
+    @_shared
     def page_view(self, start=None, end=None) -> DataFrame:
         return dwd.traffic_page_view(self.b.ods_log(start, end), self.b.ods_province())
 
+    @_shared
     def login(self, start=None, end=None) -> DataFrame:
         return dwd.user_login(self.b.ods_log(start, end), self.b.ods_province())
 
+    @_shared
     def register(self, start=None, end=None) -> DataFrame:
         return dwd.user_register(self.b.ods_user_inc(start, end), self.b.ods_log(start, end), self.b.ods_province())
 
+    @_shared
     def session_1d(self, start=None, end=None) -> DataFrame:
         return dws.traffic_session_page_view_1d(self.page_view(start, end))
 
+    @_shared
+    def page_rows(self, start=None, end=None) -> DataFrame:
+        """Page views without the session pass (for device × page summaries)."""
+        return dwd.traffic_page_view(self.b.ods_log(start, end), self.b.ods_province(), sessions=False)
+
+    @_shared
     def visitor_1d(self, start=None, end=None) -> DataFrame:
-        return dws.traffic_page_visitor_page_view_1d(self.page_view(start, end))
+        return dws.traffic_page_visitor_page_view_1d(self.page_rows(start, end))
 
+    @_shared
     def visitor_nd(self) -> DataFrame:
         return dws.traffic_page_visitor_page_view_nd(self.visitor_1d(*self._w30(self.t)), self.t)
 
+    @_shared
     def login_td(self, d: str | None = None) -> DataFrame:
         """Login state at ``d``: yesterday's state rebuilt from history ⟗ the day's logins."""
         d = d or self.t
         prev = shift_date(d, -1)
-        old = dws.user_login_td_history(self.login(None, prev), prev)
-        return dws.user_login_td(old, self.login(d, d), d)
+        logins = self.login(None, self.t)  # one pass over the log, shared by both states
+        old = dws.user_login_td_history(logins, prev)
+        return dws.user_login_td(old, logins, d)
 
 
 def _w(fn: Callable[[Warehouse], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -169,13 +224,13 @@ def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["dws_trade_user_payment_td"] = lambda w: w.payment_td()
     # ---- ADS trade
     q["ads_trade_stats_by_tm"] = lambda w: ads.trade_stats_by_tm(
-        w.sku_order_1d(w.d, w.d), w.sku_order_nd(), w.sku_refund_1d(w.d, w.d), w.sku_refund_nd(), w.d)
+        w.sku_order_1d(*w._w30(w.d)), w.sku_order_nd(), w.sku_refund_1d(*w._w30(w.d)), w.sku_refund_nd(), w.d)
     q["ads_trade_stats_by_cate"] = lambda w: ads.trade_stats_by_cate(
-        w.sku_order_1d(w.d, w.d), w.sku_order_nd(), w.sku_refund_1d(w.d, w.d), w.sku_refund_nd(), w.d)
+        w.sku_order_1d(*w._w30(w.d)), w.sku_order_nd(), w.sku_refund_1d(*w._w30(w.d)), w.sku_refund_nd(), w.d)
     q["ads_repeat_purchase_by_tm"] = lambda w: ads.repeat_purchase_by_tm(w.sku_order_nd(), w.d)
     q["ads_trade_stats"] = lambda w: ads.trade_stats(
-        w.user_order_1d(w.d, w.d), w.user_order_nd(), w.user_refund_1d(w.d, w.d), w.user_refund_nd(), w.d)
-    q["ads_order_by_province"] = lambda w: ads.order_by_province(w.province_1d(w.d, w.d), w.province_nd(), w.d)
+        w.user_order_1d(*w._w30(w.d)), w.user_order_nd(), w.user_refund_1d(*w._w30(w.d)), w.user_refund_nd(), w.d)
+    q["ads_order_by_province"] = lambda w: ads.order_by_province(w.province_1d(*w._w30(w.d)), w.province_nd(), w.d)
     q["ads_new_buyer_stats"] = lambda w: ads.new_buyer_stats(w.order_td(), w.payment_td(), w.d)
     q["ads_coupon_stats"] = lambda w: ads.coupon_stats(w.coupon_nd(), w.d)
     q["ads_activity_stats"] = lambda w: ads.activity_stats(w.activity_nd(), w.d)
@@ -202,8 +257,8 @@ def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["ads_user_stats"] = lambda w: ads.user_stats(w.register(None, w.t), w.login_td(w.t), w.t)
     q["user_stats_filter_form"] = lambda w: ads.user_stats_filter_form(w.register(None, w.t), w.login_td(w.t), w.t)
     q["ads_user_action"] = lambda w: ads.user_action(
-        w.visitor_1d(w.t, w.t), w.visitor_nd(), w.cart_add_1d(w.t, w.t), w.cart_add_nd(),
-        w.user_order_1d(w.t, w.t), w.user_order_nd(), w.payment_1d(w.t, w.t), w.payment_nd(), w.t)
+        w.visitor_1d(*w._w30(w.t)), w.visitor_nd(), w.cart_add_1d(*w._w30(w.t)), w.cart_add_nd(),
+        w.user_order_1d(*w._w30(w.t)), w.user_order_nd(), w.payment_1d(*w._w30(w.t)), w.payment_nd(), w.t)
     # ---- DIM from raw snapshots / changes
     q["dim_sku_full"] = lambda w: dim.sku_full(**{
         k: v for k, v in zip(

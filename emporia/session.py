@@ -37,6 +37,7 @@ def get_session(
     if master:
         builder = builder.master(master)
         builder = builder.config("spark.ui.enabled", "false")
+        builder = builder.config("spark.ui.showConsoleProgress", "false")
         builder = builder.config("spark.driver.memory", os.environ.get("EMPORIA_DRIVER_MEMORY", "16g"))
     for key, value in WAREHOUSE_CONF.items():
         builder = builder.config(key, value)
@@ -66,11 +67,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is. Only local runs (tests) without the setting get a fresh temp folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return current
+    current = current or sc.getCheckpointDir()
     if current:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
         return current
-    path = tempfile.mkdtemp(prefix="emporia-ckpt-")
+    path = tempfile.mkdtemp(prefix="emporia-ckpt-")  # local runs (tests) only: the setting is unset
     spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
