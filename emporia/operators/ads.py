@@ -126,13 +126,14 @@ def user_change(login_td_today: DataFrame, login_td_yesterday: DataFrame, do_dat
     """Churned users (last login exactly 7 days ago) and returned users (gap ≥ 8 days, V1)."""
     churn = login_td_today.where(F.col("login_date_last") == F.lit(shift_date(do_date, -7))).agg(
         F.count(F.lit(1)).alias("user_churn_count")
-    )
+    ).withColumn("dt", F.lit(do_date))
     t = login_td_today.select("user_id", "login_date_last")
     y = login_td_yesterday.select("user_id", F.col("login_date_last").alias("login_date_pre"))
     back = t.join(y, "user_id").where(F.datediff(F.col("login_date_last"), F.col("login_date_pre")) >= 8).agg(
         F.count(F.lit(1)).alias("user_back_count")
-    )
-    return churn.crossJoin(back).select(_dt(do_date), "user_churn_count", "user_back_count")
+    ).withColumn("dt", F.lit(do_date))
+    # two one-row results joined on the report day, as in the reference
+    return churn.join(back, "dt").select("dt", "user_churn_count", "user_back_count")
 
 
 def user_retention(register: DataFrame, login_td_today: DataFrame, do_date: str) -> DataFrame:
@@ -162,12 +163,13 @@ def user_stats(register: DataFrame, login_td_today: DataFrame, do_date: str) ->
         F.count(F.lit(1)).alias("m"),
         *[F.sum(F.when(F.col("login_date_last") >= _since(do_date, s), 1).otherwise(0)).alias(f"act_{s}") for s in SPANS],
     )
-    both = new.crossJoin(act).where((F.col("n") > 0) & (F.col("m") > 0))
+    both = new.withColumn("dt", F.lit(do_date)).join(act.withColumn("dt", F.lit(do_date)), "dt").where(
+        (F.col("n") > 0) & (F.col("m") > 0))
     per_span = {
         s: {"new_user_count": F.col(f"new_{s}").cast("bigint"), "active_user_count": F.col(f"act_{s}").cast("bigint")}
         for s in SPANS
     }
-    return _unpivot(both, [], per_span).select(_dt(do_date), "recent_days", "new_user_count", "active_user_count")
+    return _unpivot(both, ["dt"], per_span).select("dt", "recent_days", "new_user_count", "active_user_count")
 
 
 def user_stats_filter_form(register: DataFrame, login_td_today: DataFrame, do_date: str) -> DataFrame:
@@ -239,13 +241,14 @@ def new_buyer_stats(order_td: DataFrame, payment_td: DataFrame, do_date: str) ->
         F.count(F.lit(1)).alias("m"),
         *[F.sum(F.when(F.col("payment_date_first") >= _since(do_date, s), 1).otherwise(0)).alias(f"p_{s}") for s in SPANS],
     )
-    both = o.crossJoin(p).where((F.col("n") > 0) & (F.col("m") > 0))
+    both = o.withColumn("dt", F.lit(do_date)).join(p.withColumn("dt", F.lit(do_date)), "dt").where(
+        (F.col("n") > 0) & (F.col("m") > 0))
     per_span = {
         s: {"new_order_user_count": F.col(f"o_{s}").cast("bigint"), "new_payment_user_count": F.col(f"p_{s}").cast("bigint")}
         for s in SPANS
     }
-    return _unpivot(both, [], per_span).select(
-        _dt(do_date), "recent_days", "new_order_user_count", "new_payment_user_count"
+    return _unpivot(both, ["dt"], per_span).select(
+        "dt", "recent_days", "new_order_user_count", "new_payment_user_count"
     )
 
 

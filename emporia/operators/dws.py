@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.functions.spans import MONEY, in_window, nd_measures, recent_sum, shift_date
+from emporia.functions.spans import MONEY, in_window, nd_measures, shift_date
 
 SKU_ATTRS = [
     "sku_name", "category1_id", "category1_name", "category2_id", "category2_name",
@@ -402,5 +402,3 @@ def user_login_td(old_td: DataFrame, login: DataFrame, do_date: str) -> DataFram
         F.lit(do_date).alias("dt"),
     )
 
-
-__all__ = [name for name in dir() if name.startswith(("trade_", "traffic_", "user_"))] + ["recent_sum"]
