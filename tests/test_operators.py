@@ -273,3 +273,44 @@ def test_user_stats_forms_agree(spark):
     a = sorted(tuple(r) for r in ads.user_stats(reg, td, d).collect())
     b = sorted(tuple(r) for r in ads.user_stats_filter_form(reg, td, d).collect())
     assert a == b == [(d, 1, 1, 1), (d, 7, 2, 2), (d, 30, 2, 3)]
+
+
+def test_cancel_looks_back_one_day_and_two_refunds(spark):
+    t = lambda s: secs(f"2020-06-15 {s}")
+    line = lambda i, o, sku, day: {"id": i, "order_id": o, "sku_id": sku, "sku_num": 1, "order_price": Decimal("5.00"),
+                                   "create_time": f"{day} 08:00:00", "split_total_amount": Decimal("5.00")}
+    od = changes(spark, "order_detail", [
+        ("insert", secs("2020-06-14 08:00:00"), line("l1", "o1", "s1", D0), None, D0),  # yesterday: found
+        ("insert", secs("2020-06-13 08:00:00"), line("l0", "o0", "s1", "2020-06-13"), None, "2020-06-13"),  # too old
+    ])
+    oi = changes(spark, "order_info", [
+        ("update", t("09:00:00"), {"id": "o1", "user_id": "u1", "province_id": "p", "order_status": "1003",
+                                   "operate_time": "2020-06-15 09:00:00"}, {"order_status": "1001"}, D1),
+        ("update", t("09:00:00"), {"id": "o0", "user_id": "u0", "province_id": "p", "order_status": "1003",
+                                   "operate_time": "2020-06-15 09:00:00"}, {"order_status": "1001"}, D1),
+        ("update", t("10:00:00"), {"id": "o9", "user_id": "u9", "province_id": "p", "order_status": "1006"},
+         {"order_status": "1005"}, D1),
+    ])
+    empty = changes(spark, "order_detail_activity", [])
+    emptyc = changes(spark, "order_detail_coupon", [])
+    dic = spark.createDataFrame([], schemas.SNAPSHOTS["base_dic"])
+    out = dwd.trade_cancel_detail(od, oi, empty, emptyc, dic, D1).collect()
+    assert [(r["id"], r["cancel_time"], r["date_id"]) for r in out] == [("l1", "2020-06-15 09:00:00", D1)]
+    # two refunds of one order with different SKUs: each payment joins its own request (two keys)
+    rp = changes(spark, "refund_payment", [
+        ("update", t("11:00:00"), {"id": "p1", "order_id": "o9", "sku_id": "sA", "total_amount": Decimal("3.00"),
+                                   "refund_status": "1602", "callback_time": "2020-06-15 11:00:00"},
+         {"refund_status": "1601"}, D1),
+        ("update", t("11:00:00"), {"id": "p2", "order_id": "o9", "sku_id": "sB", "total_amount": Decimal("4.00"),
+                                   "refund_status": "1602", "callback_time": "2020-06-15 11:00:00"},
+         {"refund_status": "1601"}, D1),
+    ])
+    ri = changes(spark, "order_refund_info", [
+        ("update", t("10:30:00"), {"id": "r1", "order_id": "o9", "sku_id": "sA", "refund_num": 1,
+                                   "refund_status": "0705"}, {"refund_status": "0701"}, D1),
+        ("update", t("10:30:00"), {"id": "r2", "order_id": "o9", "sku_id": "sB", "refund_num": 2,
+                                   "refund_status": "0705"}, {"refund_status": "0701"}, D1),
+    ])
+    pays = {r["id"]: r for r in dwd.trade_refund_pay(rp, oi, ri, dic, D1).collect()}
+    assert pays["p1"]["refund_num"] == Decimal("1.00") and pays["p2"]["refund_num"] == Decimal("2.00")
+    assert pays["p1"]["user_id"] == "u9" and pays["p2"]["refund_amount"] == Decimal("4.00")
