@@ -11,10 +11,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from emporia.functions.spans import shift_date
 from emporia.operators import ads, dim, dwd, dws
-from emporia.sources.bench import TRADE_DO_DATE, TRAFFIC_DO_DATE, BenchTables
+from emporia.streaming import routing
+from emporia.sources import files
+from emporia.sources.bench import CORRUPT_AT, CORRUPT_EVERY, TRADE_DO_DATE, TRAFFIC_DO_DATE, BenchTables
 from emporia.sources.bench_ods import BenchOds
 
 
@@ -295,7 +298,31 @@ def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["dwd_tool_coupon_pay_inc"] = lambda w: dwd.tool_coupon_pay(w.ods.coupon_use_inc())
     q["dwd_interaction_favor_add_inc"] = lambda w: dwd.interaction_favor_add(w.ods.favor_info_inc())
     q["dwd_interaction_comment_inc"] = lambda w: dwd.interaction_comment(w.ods.comment_info_inc(), w.ods.dictionary())
+    # ---- collectors (S6–S8): the streaming transforms applied to the same rows in batch
+    q["normalize_types"] = lambda w: files.normalize_types(w.b.raw("orders"))
+    q["stream_partition_log_by_event_day"] = lambda w: log_routing(w)
+    q["stream_route_cdc"] = lambda w: change_routing(w)
     return {name: _w(fn) for name, fn in q.items()}
 
 
+def log_routing(w: Warehouse) -> DataFrame:
+    """S6 + S7 on the app log rendered as JSON lines, some truncated: lines kept per event day."""
+    log = w.b.ods_log()
+    line = F.to_json(F.struct("common", "page", "actions", "displays", "start", "err", "ts"))
+    broken = (F.col("ts") % CORRUPT_EVERY) == CORRUPT_AT
+    lines = log.select(F.when(broken, F.substring(line, 1, 25)).otherwise(line).alias("value"))
+    routed = routing.with_log_day(routing.drop_invalid_json(lines))
+    return routed.groupBy("dt").agg(F.count(F.lit(1)).alias("lines"))
+
+
+def change_routing(w: Warehouse) -> DataFrame:
+    """S8 on change records rendered as JSON lines: records per target table and day."""
+    def as_lines(df: DataFrame, table: str) -> DataFrame:
+        return df.select(F.to_json(F.struct(F.lit(table).alias("table"), "type", "ts", "data", "old")).alias("value"))
+
+    lines = as_lines(w.ods.order_info_inc(), "order_info").unionByName(as_lines(w.ods.payment_info_inc(), "payment_info"))
+    routed = routing.with_change_route(routing.drop_invalid_json(lines))
+    return routed.groupBy("table", "dt").agg(F.count(F.lit(1)).alias("records"))
+
+
 FLAGSHIP = "ads_trade_stats_by_tm"
