@@ -120,15 +120,34 @@ def _status_changed_to(order_info_inc: DataFrame, status: str) -> Column:
     )
 
 
+def _status_now(status: str) -> Column:
+    """First day: a bootstrapped row already in ``status``."""
+    return (F.col("type") == "bootstrap-insert") & (F.col("data.order_status") == status)
+
+
+def _lookback(first_day: bool, do_date: str, lookback_days: int):
+    lo = do_date if first_day else shift_date(do_date, -lookback_days)
+    return lambda df: df.where((F.col("dt") >= F.lit(lo)) & (F.col("dt") <= F.lit(do_date)))
+
+
+def _event_dt(time_col: str, first_day: bool, do_date: str) -> Column:
+    """Daily: the run's day. First day: the day of the row's own event time."""
+    return (date_of_text(time_col) if first_day else F.lit(do_date)).alias("dt")
+
+
 def trade_cancel_detail(
     order_detail_inc: DataFrame, order_info_inc: DataFrame, detail_activity_inc: DataFrame,
     detail_coupon_inc: DataFrame, dictionary: DataFrame, do_date: str, lookback_days: int = 1,
+    first_day: bool = False,
 ) -> DataFrame:
-    """lines of orders whose status became cancelled; lines looked up ``lookback_days`` back."""
-    lo = shift_date(do_date, -lookback_days)
-    window = lambda df: df.where((F.col("dt") >= F.lit(lo)) & (F.col("dt") <= F.lit(do_date)))
+    """lines of orders whose status became cancelled; lines looked up ``lookback_days`` back.
+
+    First day: bootstrapped orders already cancelled, each to the day it was cancelled.
+    """
+    window = _lookback(first_day, do_date, lookback_days)
     lines = _detail_lines(window(order_detail_inc), ("insert", "bootstrap-insert"))
-    cancelled = _day(order_info_inc, do_date).where(_status_changed_to(order_info_inc, ORDER_CANCELLED)).select(
+    became = _status_now(ORDER_CANCELLED) if first_day else _status_changed_to(order_info_inc, ORDER_CANCELLED)
+    cancelled = _day(order_info_inc, do_date).where(became).select(
         F.col("data.id").alias("__oid"), F.col("data.user_id").alias("user_id"),
         F.col("data.province_id").alias("province_id"), F.col("data.operate_time").alias("cancel_time"),
     )
@@ -143,21 +162,25 @@ def trade_cancel_detail(
     return j.select(
         "id", "order_id", "user_id", "sku_id", "province_id", "activity_id", "activity_rule_id", "coupon_id",
         date_of_text("cancel_time").alias("date_id"), "cancel_time", "source_id", "source_type_code",
-        "source_type_name", *LINE_MEASURES, "split_total_amount", F.lit(do_date).alias("dt"),
+        "source_type_name", *LINE_MEASURES, "split_total_amount", _event_dt("cancel_time", first_day, do_date),
     )
 
 
 def trade_pay_detail(
     order_detail_inc: DataFrame, order_info_inc: DataFrame, payment_inc: DataFrame, detail_activity_inc: DataFrame,
     detail_coupon_inc: DataFrame, dictionary: DataFrame, do_date: str, lookback_days: int = 1,
+    first_day: bool = False,
 ) -> DataFrame:
-    """lines of orders whose payment succeeded today; payment and source names."""
-    lo = shift_date(do_date, -lookback_days)
-    window = lambda df: df.where((F.col("dt") >= F.lit(lo)) & (F.col("dt") <= F.lit(do_date)))
+    """lines of orders whose payment succeeded today; payment and source names.
+
+    First day: bootstrapped successful payments, each to its callback day.
+    """
+    window = _lookback(first_day, do_date, lookback_days)
     lines = _detail_lines(window(order_detail_inc), ("insert", "bootstrap-insert"))
-    paid = _day(payment_inc, do_date).where(
-        (F.col("type") == "update") & change_has("old", "payment_status") & (F.col("data.payment_status") == PAYMENT_OK)
-    ).select(
+    ok = F.col("data.payment_status") == PAYMENT_OK
+    became = ((F.col("type") == "bootstrap-insert") & ok) if first_day else (
+        (F.col("type") == "update") & change_has("old", "payment_status") & ok)
+    paid = _day(payment_inc, do_date).where(became).select(
         F.col("data.order_id").alias("__pid"), F.col("data.user_id").alias("user_id"),
         F.col("data.payment_type").alias("payment_type_code"), F.col("data.callback_time").alias("callback_time"),
     )
@@ -179,15 +202,19 @@ def trade_pay_detail(
         "id", "order_id", "user_id", "sku_id", "province_id", "activity_id", "activity_rule_id", "coupon_id",
         "payment_type_code", "payment_type_name", date_of_text("callback_time").alias("date_id"), "callback_time",
         "source_id", "source_type_code", "source_type_name", *LINE_MEASURES,
-        F.col("split_total_amount").alias("split_payment_amount"), F.lit(do_date).alias("dt"),
+        F.col("split_total_amount").alias("split_payment_amount"), _event_dt("callback_time", first_day, do_date),
     )
 
 
 def trade_order_refund(
-    refund_inc: DataFrame, order_info_inc: DataFrame, dictionary: DataFrame, do_date: str
+    refund_inc: DataFrame, order_info_inc: DataFrame, dictionary: DataFrame, do_date: str, first_day: bool = False,
 ) -> DataFrame:
-    """refund requests ⟕ order (status → refund requested, for the province) ⟕ type ⟕ reason."""
-    ri = _day(refund_inc, do_date).where(F.col("type") == "insert").select(
+    """refund requests ⟕ order (status → refund requested, for the province) ⟕ type ⟕ reason.
+
+    First day: every bootstrapped request ⟕ its bootstrapped order, each to its request day.
+    """
+    ri = _day(refund_inc, do_date).where(
+        F.col("type") == ("bootstrap-insert" if first_day else "insert")).select(
         F.col("data.id").alias("id"), F.col("data.user_id").alias("user_id"),
         F.col("data.order_id").alias("order_id"), F.col("data.sku_id").alias("sku_id"),
         F.col("data.create_time").alias("create_time"), F.col("data.refund_type").alias("refund_type_code"),
@@ -195,7 +222,9 @@ def trade_order_refund(
         F.col("data.refund_reason_txt").alias("refund_reason_txt"), F.col("data.refund_num").alias("refund_num"),
         F.col("data.refund_amount").alias("refund_amount"),
     )
-    oi = _day(order_info_inc, do_date).where(_status_changed_to(order_info_inc, ORDER_REFUND_REQUESTED)).select(
+    order_rows = (F.col("type") == "bootstrap-insert") if first_day else _status_changed_to(
+        order_info_inc, ORDER_REFUND_REQUESTED)
+    oi = _day(order_info_inc, do_date).where(order_rows).select(
         F.col("data.id").alias("__oid"), F.col("data.province_id").alias("province_id")
     )
     t = _dic(dictionary, DIC_REFUND_TYPE, "__t", "refund_type_name")
@@ -208,29 +237,36 @@ def trade_order_refund(
     return j.select(
         "id", "user_id", "order_id", "sku_id", "province_id", date_of_text("create_time").alias("date_id"),
         "create_time", "refund_type_code", "refund_type_name", "refund_reason_type_code",
-        "refund_reason_type_name", "refund_reason_txt", "refund_num", "refund_amount", F.lit(do_date).alias("dt"),
+        "refund_reason_type_name", "refund_reason_txt", "refund_num", "refund_amount",
+        _event_dt("create_time", first_day, do_date),
     )
 
 
 def trade_refund_pay(
     refund_payment_inc: DataFrame, order_info_inc: DataFrame, refund_inc: DataFrame, dictionary: DataFrame,
-    do_date: str,
+    do_date: str, first_day: bool = False,
 ) -> DataFrame:
-    """successful refund payments ⟕ order (refunded) ⟕ refund request (requested) on two keys."""
-    rp = _day(refund_payment_inc, do_date).where(
-        (F.col("type") == "update") & change_has("old", "refund_status") & (F.col("data.refund_status") == REFUND_PAID)
-    ).select(
+    """successful refund payments ⟕ order (refunded) ⟕ refund request (requested) on two keys.
+
+    First day: bootstrapped successful refund payments ⟕ bootstrapped orders and requests, each to its callback day.
+    """
+    paid_ok = F.col("data.refund_status") == REFUND_PAID
+    rp_rows = ((F.col("type") == "bootstrap-insert") & paid_ok) if first_day else (
+        (F.col("type") == "update") & change_has("old", "refund_status") & paid_ok)
+    rp = _day(refund_payment_inc, do_date).where(rp_rows).select(
         F.col("data.id").alias("id"), F.col("data.order_id").alias("order_id"), F.col("data.sku_id").alias("sku_id"),
         F.col("data.payment_type").alias("payment_type_code"), F.col("data.callback_time").alias("callback_time"),
         F.col("data.total_amount").alias("refund_amount"),
     )
-    oi = _day(order_info_inc, do_date).where(_status_changed_to(order_info_inc, ORDER_REFUNDED)).select(
+    oi_rows = (F.col("type") == "bootstrap-insert") if first_day else _status_changed_to(order_info_inc, ORDER_REFUNDED)
+    oi = _day(order_info_inc, do_date).where(oi_rows).select(
         F.col("data.id").alias("__oid"), F.col("data.user_id").alias("user_id"),
         F.col("data.province_id").alias("province_id"),
     )
-    ri = _day(refund_inc, do_date).where(
-        (F.col("type") == "update") & change_has("old", "refund_status") & (F.col("data.refund_status") == REFUND_REQUESTED)
-    ).select(
+    ri_rows = (F.col("type") == "bootstrap-insert") if first_day else (
+        (F.col("type") == "update") & change_has("old", "refund_status")
+        & (F.col("data.refund_status") == REFUND_REQUESTED))
+    ri = _day(refund_inc, do_date).where(ri_rows).select(
         F.col("data.order_id").alias("__r_order"), F.col("data.sku_id").alias("__r_sku"),
         F.col("data.refund_num").alias("refund_num"),
     )
@@ -243,7 +279,8 @@ def trade_refund_pay(
     return j.select(
         "id", "user_id", "order_id", "sku_id", "province_id", "payment_type_code", "payment_type_name",
         date_of_text("callback_time").alias("date_id"), "callback_time",
-        F.col("refund_num").cast(MONEY).alias("refund_num"), "refund_amount", F.lit(do_date).alias("dt"),
+        F.col("refund_num").cast(MONEY).alias("refund_num"), "refund_amount",
+        _event_dt("callback_time", first_day, do_date),
     )
 
 

@@ -123,21 +123,20 @@ class Chain:
                                         dic, d, **fd), "dwd_trade_order_detail_inc", target)
         self.put(dwd.trade_cart_add(self.inc("cart_info", [d]), dic, d), "dwd_trade_cart_add_inc", d)
         self.put(dwd.trade_cart_full(self.snap("cart_info", d), d), "dwd_trade_cart_full", d)
-        if not first_day:
-            both = [prev, d]
-            self.put(dwd.trade_cancel_detail(self.inc("order_detail", both), self.inc("order_info", both),
-                                             self.inc("order_detail_activity", both),
-                                             self.inc("order_detail_coupon", both), dic, d),
-                     "dwd_trade_cancel_detail_inc", d)
-            self.put(dwd.trade_pay_detail(self.inc("order_detail", both), self.inc("order_info", both),
-                                          self.inc("payment_info", [d]), self.inc("order_detail_activity", both),
-                                          self.inc("order_detail_coupon", both), dic, d),
-                     "dwd_trade_pay_detail_suc_inc", d)
-            self.put(dwd.trade_order_refund(self.inc("order_refund_info", [d]), self.inc("order_info", [d]), dic, d),
-                     "dwd_trade_order_refund_inc", d)
-            self.put(dwd.trade_refund_pay(self.inc("refund_payment", [d]), self.inc("order_info", [d]),
-                                          self.inc("order_refund_info", [d]), dic, d),
-                     "dwd_trade_refund_pay_suc_inc", d)
+        both = [d] if first_day else [prev, d]
+        self.put(dwd.trade_cancel_detail(self.inc("order_detail", both), self.inc("order_info", both),
+                                         self.inc("order_detail_activity", both),
+                                         self.inc("order_detail_coupon", both), dic, d, **fd),
+                 "dwd_trade_cancel_detail_inc", target)
+        self.put(dwd.trade_pay_detail(self.inc("order_detail", both), self.inc("order_info", both),
+                                      self.inc("payment_info", [d]), self.inc("order_detail_activity", both),
+                                      self.inc("order_detail_coupon", both), dic, d, **fd),
+                 "dwd_trade_pay_detail_suc_inc", target)
+        self.put(dwd.trade_order_refund(self.inc("order_refund_info", [d]), self.inc("order_info", [d]), dic, d, **fd),
+                 "dwd_trade_order_refund_inc", target)
+        self.put(dwd.trade_refund_pay(self.inc("refund_payment", [d]), self.inc("order_info", [d]),
+                                      self.inc("order_refund_info", [d]), dic, d, **fd),
+                 "dwd_trade_refund_pay_suc_inc", target)
         coupon_use = self.inc("coupon_use", [d])
         self.put(dwd.tool_coupon_get(coupon_use, d, **fd), "dwd_tool_coupon_get_inc", target)
         self.put(dwd.tool_coupon_order(coupon_use, d, **fd), "dwd_tool_coupon_order_inc", target)

@@ -107,10 +107,18 @@ def write(root):
     t0 = secs("2020-06-14 23:00:00")
     _inc(root, "user_info", D0, [("bootstrap-insert", t0, user("u1", "ann", "2020-06-01 10:00:00"), None),
                                  ("bootstrap-insert", t0, user("u2", "bob", "2020-06-13 10:00:00"), None)])
-    _inc(root, "order_info", D0, [("bootstrap-insert", t0, {"id": "o1", "user_id": "u1", "province_id": "p1",
-                                                            "order_status": "1001"}, None)])
-    _inc(root, "order_detail", D0, [("bootstrap-insert", t0, line("d1", "o1", "s1", 1, "100.00", "2020-06-13 09:00:00",
-                                                                  "90.00", act="10.00"), None)])
+    _inc(root, "order_info", D0, [
+        ("bootstrap-insert", t0, {"id": "o1", "user_id": "u1", "province_id": "p1", "order_status": "1002"}, None),
+        ("bootstrap-insert", t0, {"id": "o0", "user_id": "u2", "province_id": "p1", "order_status": "1003",
+                                  "operate_time": "2020-06-12 18:00:00"}, None),
+    ])
+    _inc(root, "order_detail", D0, [
+        ("bootstrap-insert", t0, line("d1", "o1", "s1", 1, "100.00", "2020-06-13 09:00:00", "90.00", act="10.00"), None),
+        ("bootstrap-insert", t0, line("d0", "o0", "s2", 1, "50.00", "2020-06-12 09:00:00", "50.00"), None),
+    ])
+    _inc(root, "payment_info", D0, [("bootstrap-insert", t0, {"id": "pay0", "order_id": "o1", "user_id": "u1",
+                                                              "payment_type": "1101", "payment_status": "1602",
+                                                              "callback_time": "2020-06-13 09:30:00"}, None)])
     _inc(root, "order_detail_activity", D0, [("bootstrap-insert", t0, {"id": "x", "order_id": "o1",
                                                                        "order_detail_id": "d1", "activity_id": "a1",
                                                                        "activity_rule_id": "r1"}, None)])

@@ -18,7 +18,9 @@ def test_first_day_then_daily(spark, tmpdir_path):
     chain = Chain(spark, ods, wh, pub)
     chain.run_first_day(D0)
     od = chain.read("dwd_trade_order_detail_inc").collect()
-    assert [(r["id"], r["dt"]) for r in od] == [("d1", "2020-06-13")]  # history fanned out by its own day
+    assert sorted((r["id"], r["dt"]) for r in od) == [("d0", "2020-06-12"), ("d1", "2020-06-13")]  # by own day
+    assert [(r["id"], r["dt"]) for r in chain.read("dwd_trade_cancel_detail_inc").collect()] == [("d0", "2020-06-12")]
+    assert [(r["id"], r["dt"]) for r in chain.read("dwd_trade_pay_detail_suc_inc").collect()] == [("d1", "2020-06-13")]
     assert chain.read("dwd_tool_coupon_get_inc").first()["dt"] == "2020-06-12"
     chain.run_day(D1)
 
@@ -26,12 +28,16 @@ def test_first_day_then_daily(spark, tmpdir_path):
     assert ("u1", D0) in zipper and ("u1", "9999-12-31") in zipper and ("u3", "9999-12-31") in zipper
     td = {r["user_id"]: r for r in chain.read("dws_trade_user_order_td", [D1]).collect()}
     assert td["u1"]["order_date_first"] == "2020-06-13" and td["u1"]["order_count_td"] == 1
-    assert td["u2"]["order_date_first"] == D1 and td["u2"]["total_amount_td"] == Decimal("190.00")
+    assert td["u2"]["order_count_td"] == 2  # the bootstrapped (later cancelled) order counts as ordered
+    assert td["u2"]["order_date_first"] == "2020-06-12" and td["u2"]["total_amount_td"] == Decimal("240.00")
+    pay_td = {r["user_id"]: r for r in chain.read("dws_trade_user_payment_td", [D1]).collect()}
+    assert pay_td["u1"]["payment_date_first"] == "2020-06-13" and pay_td["u2"]["payment_date_first"] == D1
     pay = chain.read("dwd_trade_pay_detail_suc_inc", [D1]).collect()
     assert sorted(r["id"] for r in pay) == ["d2", "d3"] and {r["payment_type_name"] for r in pay} == {"alipay"}
     by_tm = {(r["recent_days"], r["tm_id"]): r for r in chain.read("ads_trade_stats_by_tm", [D1]).collect()}
     assert by_tm[(1, "t2")]["order_count"] == 1 and by_tm[(1, "t2")]["order_refund_count"] == 1
     assert by_tm[(30, "t1")]["order_count"] == 2  # d1 (06-13) + d3 (06-15)
+    assert by_tm[(30, "t2")]["order_count"] == 2  # d0 (06-12) + d2 (06-15)
     coupons = {r["coupon_id"]: r["reduce_rate"] for r in chain.read("ads_coupon_stats", [D1]).collect()}
     assert coupons == {"c1": Decimal("0.10"), "c2": None}
     reg = chain.read("dwd_user_register_inc", [D1]).collect()
