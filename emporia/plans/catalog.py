@@ -311,7 +311,7 @@ def log_routing(w: Warehouse) -> DataFrame:
     line = F.to_json(F.struct("common", "page", "actions", "displays", "start", "err", "ts"))
     broken = (F.col("ts") % CORRUPT_EVERY) == CORRUPT_AT
     lines = log.select(F.when(broken, F.substring(line, 1, 25)).otherwise(line).alias("value"))
-    routed = routing.with_log_day(routing.drop_invalid_json(lines))
+    routed = routing.route_log(lines)
     return routed.groupBy("dt").agg(F.count(F.lit(1)).alias("lines"))
 
 
