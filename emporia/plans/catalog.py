@@ -17,7 +17,9 @@ from emporia.functions.spans import shift_date
 from emporia.operators import ads, dim, dwd, dws
 from emporia.streaming import routing
 from emporia.sources import files
-from emporia.sources.bench import CORRUPT_AT, CORRUPT_EVERY, TRADE_DO_DATE, TRAFFIC_DO_DATE, BenchTables
+from emporia.sources.bench import (
+    CORRUPT_AT, CORRUPT_EVERY, RETENTION_DO_DATE, TRADE_DO_DATE, TRAFFIC_DO_DATE, BenchTables,
+)
 from emporia.sources.bench_ods import BenchOds
 
 
@@ -256,7 +258,8 @@ def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["ads_traffic_stats_by_channel"] = lambda w: ads.traffic_stats_by_channel(w.session_1d(*w._w30(w.t)), w.t)
     q["ads_page_path"] = lambda w: ads.page_path(w.page_view(*w._w30(w.t)), w.t)
     q["ads_user_change"] = lambda w: ads.user_change(w.login_td(w.t), w.login_td(shift_date(w.t, -1)), w.t)
-    q["ads_user_retention"] = lambda w: ads.user_retention(w.register(shift_date(w.t, -7), w.t), w.login_td(w.t), w.t)
+    q["ads_user_retention"] = lambda w: ads.user_retention(
+        w.register(shift_date(RETENTION_DO_DATE, -7), RETENTION_DO_DATE), w.login_td(RETENTION_DO_DATE), RETENTION_DO_DATE)
     q["ads_user_stats"] = lambda w: ads.user_stats(w.register(None, w.t), w.login_td(w.t), w.t)
     q["user_stats_filter_form"] = lambda w: ads.user_stats_filter_form(w.register(None, w.t), w.login_td(w.t), w.t)
     q["ads_user_action"] = lambda w: ads.user_action(
