@@ -196,6 +196,13 @@ class Warehouse:
         return dws.user_login_td(old, logins, d)
 
 
+def _arrays_as_json(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Nested array columns rendered as JSON text, for a cross-engine value check only."""
+    for c in cols:
+        df = df.withColumn(c, F.to_json(F.col(c), {"ignoreNullFields": "false"}))
+    return df
+
+
 def _w(fn: Callable[[Warehouse], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: fn(Warehouse(spark, sf_dir))
 
@@ -266,12 +273,12 @@ def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         w.visitor_1d(*w._w30(w.t)), w.visitor_nd(), w.cart_add_1d(*w._w30(w.t)), w.cart_add_nd(),
         w.user_order_1d(*w._w30(w.t)), w.user_order_nd(), w.payment_1d(*w._w30(w.t)), w.payment_nd(), w.t)
     # ---- DIM from raw snapshots / changes
-    q["dim_sku_full"] = lambda w: dim.sku_full(**{
+    q["dim_sku_full"] = lambda w: _arrays_as_json(dim.sku_full(**{
         k: v for k, v in zip(
             ["sku_info", "spu_info", "category3", "category2", "category1", "trademark", "attr_value", "sale_attr_value"],
             [w.ods.sku_snapshots()[t] for t in ["sku_info", "spu_info", "base_category3", "base_category2",
                                                  "base_category1", "base_trademark", "sku_attr_value",
-                                                 "sku_sale_attr_value"]])})
+                                                 "sku_sale_attr_value"]])}), ["sku_attr_values", "sku_sale_attr_values"])
     q["dim_date"] = lambda w: dim.date_dim(w.b.raw("orders").selectExpr("date_format(o_orderdate, 'yyyy-MM-dd') AS date_id"))
     q["dim_user_zip_init"] = lambda w: dim.user_zip_init(w.ods.user_info_inc(shift_date(w.d, -1), w.d), shift_date(w.d, -1))
     q["dim_user_zip"] = lambda w: dim.user_zip(
