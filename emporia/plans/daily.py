@@ -90,6 +90,19 @@ class Chain:
         else:
             tables.overwrite_partition(df, self.path(table), d)
 
+    # ------------------------------------------------------------------ ODS
+    def load_ods(self, d: str, landing_root: str) -> dict[str, bool]:
+        """Landed files of day ``d`` (``<landing>/<table>/<d>/``) into the raw tables."""
+        from emporia import schemas
+
+        loaded = {}
+        names = [f"ods_{t}_full" for t in schemas.SNAPSHOTS] + [f"ods_{t}_inc" for t in schemas.CHANGE_DATA]
+        for name in names:
+            loaded[name] = tables.load_ods_day(self.spark, f"{landing_root}/{name}/{d}", f"{self.ods_root}/{name}", d)
+        loaded["ods_log_inc"] = tables.load_ods_day(
+            self.spark, f"{landing_root}/ods_log_inc/{d}", f"{self.ods_root}/ods_log_inc", d, append=True)
+        return loaded
+
     # ------------------------------------------------------------------ DIM
     def load_dims(self, d: str) -> None:
         s = lambda t: self.snap(t, d)
