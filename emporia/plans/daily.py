@@ -299,3 +299,27 @@ class Chain:
         self.load_dws_nd(d)
         self.load_dws_td(d, first_day=False)
         self.load_ads(d)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``spark-submit emporia/plans/daily.py --ods … --warehouse … --date 2020-06-15 [--first-day]``."""
+    import argparse
+
+    from emporia.session import get_session
+
+    p = argparse.ArgumentParser(description="run one day of the warehouse chain")
+    p.add_argument("--ods", required=True, help="raw tables root")
+    p.add_argument("--warehouse", required=True, help="warehouse tables root")
+    p.add_argument("--publish", default=None, help="published reports root")
+    p.add_argument("--landing", default=None, help="landed files root (loaded into --ods first)")
+    p.add_argument("--date", required=True, help="business date yyyy-MM-dd")
+    p.add_argument("--first-day", action="store_true", help="bootstrap run")
+    a = p.parse_args(argv)
+    chain = Chain(get_session(), a.ods, a.warehouse, a.publish)
+    if a.landing:
+        chain.load_ods(a.date, a.landing)
+    (chain.run_first_day if a.first_day else chain.run_day)(a.date)
+
+
+if __name__ == "__main__":
+    main()
