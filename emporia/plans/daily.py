@@ -302,7 +302,10 @@ class Chain:
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``spark-submit emporia/plans/daily.py --ods … --warehouse … --date 2020-06-15 [--first-day]``."""
+    """``python -m emporia.plans.daily --ods … --warehouse … --date 2020-06-15 [--first-day]``
+
+    (on a cluster: ship the package with ``--py-files`` and call ``main()`` from the submitted script).
+    """
     import argparse
 
     from emporia.session import get_session
