@@ -104,6 +104,10 @@ class Chain:
         return loaded
 
     # ------------------------------------------------------------------ DIM
+    def load_date_dim(self, date_info_path: str) -> None:
+        """The calendar from its prepared file, replacing the whole (unpartitioned) table."""
+        tables.overwrite_table(files.read_date_info(self.spark, date_info_path), self.path("dim_date"))
+
     def load_dims(self, d: str) -> None:
         s = lambda t: self.snap(t, d)
         self.put(dim.sku_full(s("sku_info"), s("spu_info"), s("base_category3"), s("base_category2"),

@@ -44,6 +44,10 @@ SNAPSHOTS = {
     "spu_info": "id STRING, spu_name STRING, description STRING, category3_id STRING, tm_id STRING",
 }
 
+# Staging table of the calendar (prepared TSV, no dt partition).
+DATE_INFO = ("date_id STRING, week_id STRING, week_day STRING, day STRING, month STRING, quarter STRING, "
+             "year STRING, is_workday STRING, holiday_id STRING")
+
 # ------------------------------------------------- row changes: ``data`` struct
 CHANGE_DATA = {
     "cart_info": f"id STRING, user_id STRING, sku_id STRING, cart_price {MONEY}, sku_num BIGINT, img_url STRING, sku_name STRING, is_checked STRING, create_time STRING, operate_time STRING, is_ordered STRING, order_time STRING, source_type STRING, source_id STRING",

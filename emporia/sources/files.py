@@ -73,6 +73,12 @@ def read_log(spark: SparkSession, root: str, days: Iterable[str] | None = None)
     return _load(spark, spark.read.schema(schema).option("basePath", base).json, schema, paths)
 
 
+def read_date_info(spark: SparkSession, path: str) -> DataFrame:
+    """The prepared calendar file (tab-delimited) behind the calendar dimension's staging table."""
+    schema = schemas.struct_of(schemas.DATE_INFO)
+    return spark.read.schema(schema).option("sep", "\t").option("nullValue", "").csv(path)
+
+
 def normalize_types(df: DataFrame) -> DataFrame:
     """Source → warehouse types.
 

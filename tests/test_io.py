@@ -132,3 +132,15 @@ def test_landing_to_raw_overwrite_and_append(spark, tmpdir_path):
     assert files.read_changes(spark, ods, "order_info", [D1]).count() == 1
     assert files.read_log(spark, ods, [D1]).count() == 2
     assert files.read_changes(spark, ods, "order_info", [D1]).first()["data"]["id"] == "1"
+
+
+def test_calendar_file_replaces_table(spark, tmpdir_path):
+    from emporia.plans.daily import Chain
+
+    cal = f"{tmpdir_path}/date_info.tsv"
+    _write_text(cal, ["2020-06-14\t24\t7\t14\t6\t2\t2020\t0\t", "2020-10-01\t40\t4\t1\t10\t4\t2020\t0\t1"])
+    chain = Chain(spark, f"{tmpdir_path}/ods", f"{tmpdir_path}/wh")
+    chain.load_date_dim(cal)
+    chain.load_date_dim(cal)  # whole-table overwrite: idempotent
+    rows = {r["date_id"]: r for r in spark.read.parquet(chain.path("dim_date")).collect()}
+    assert len(rows) == 2 and rows["2020-10-01"]["holiday_id"] == "1" and rows["2020-06-14"]["holiday_id"] is None
