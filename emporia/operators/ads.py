@@ -124,16 +124,18 @@ def page_path(page_view: DataFrame, do_date: str) -> DataFrame:
 # ------------------------------------------------------------------- R3–R6
 def user_change(login_td_today: DataFrame, login_td_yesterday: DataFrame, do_date: str) -> DataFrame:
     """Churned users (last login exactly 7 days ago) and returned users (gap ≥ 8 days, V1)."""
-    churn = login_td_today.where(F.col("login_date_last") == F.lit(shift_date(do_date, -7))).agg(
-        F.count(F.lit(1)).alias("user_churn_count")
-    ).withColumn("dt", F.lit(do_date))
+    # both counts in one aggregation over tagged rows (no join between two one-row results)
+    churn = login_td_today.where(F.col("login_date_last") == F.lit(shift_date(do_date, -7))).select(
+        F.lit(1).alias("c"), F.lit(0).alias("b"))
     t = login_td_today.select("user_id", "login_date_last")
     y = login_td_yesterday.select("user_id", F.col("login_date_last").alias("login_date_pre"))
-    back = t.join(y, "user_id").where(F.datediff(F.col("login_date_last"), F.col("login_date_pre")) >= 8).agg(
-        F.count(F.lit(1)).alias("user_back_count")
-    ).withColumn("dt", F.lit(do_date))
-    # two one-row results joined on the report day, as in the reference
-    return churn.join(back, "dt").select("dt", "user_churn_count", "user_back_count")
+    back = t.join(y, "user_id").where(F.datediff(F.col("login_date_last"), F.col("login_date_pre")) >= 8).select(
+        F.lit(0).alias("c"), F.lit(1).alias("b"))
+    out = churn.unionByName(back).agg(F.sum("c").alias("c"), F.sum("b").alias("b"))
+    return out.select(
+        _dt(do_date), F.coalesce("c", F.lit(0)).cast("bigint").alias("user_churn_count"),
+        F.coalesce("b", F.lit(0)).cast("bigint").alias("user_back_count"),
+    )
 
 
 def user_retention(register: DataFrame, login_td_today: DataFrame, do_date: str) -> DataFrame:
@@ -155,21 +157,21 @@ def user_retention(register: DataFrame, login_td_today: DataFrame, do_date: str)
 def user_stats(register: DataFrame, login_td_today: DataFrame, do_date: str) -> DataFrame:
     """Per span — new users and active users (one scan each, V12 upper bound)."""
     reg = register.where(F.col("date_id") <= F.lit(do_date))
-    new = reg.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum(F.when(F.col("date_id") >= _since(do_date, s), 1).otherwise(0)).alias(f"new_{s}") for s in SPANS],
-    )
-    act = login_td_today.agg(
-        F.count(F.lit(1)).alias("m"),
-        *[F.sum(F.when(F.col("login_date_last") >= _since(do_date, s), 1).otherwise(0)).alias(f"act_{s}") for s in SPANS],
-    )
-    both = new.withColumn("dt", F.lit(do_date)).join(act.withColumn("dt", F.lit(do_date)), "dt").where(
+    # one aggregation over both inputs' tagged rows (no join between two one-row results)
+    zero = [F.lit(0).alias(f"act_{s}") for s in SPANS]
+    reg_rows = reg.select(F.lit(1).alias("n"), F.lit(0).alias("m"), *[
+        F.when(F.col("date_id") >= _since(do_date, s), 1).otherwise(0).alias(f"new_{s}") for s in SPANS], *zero)
+    act_rows = login_td_today.select(F.lit(0).alias("n"), F.lit(1).alias("m"), *[
+        F.lit(0).alias(f"new_{s}") for s in SPANS], *[
+        F.when(F.col("login_date_last") >= _since(do_date, s), 1).otherwise(0).alias(f"act_{s}") for s in SPANS])
+    cols = ["n", "m", *[f"new_{s}" for s in SPANS], *[f"act_{s}" for s in SPANS]]
+    both = reg_rows.unionByName(act_rows).agg(*[F.sum(c).alias(c) for c in cols]).where(
         (F.col("n") > 0) & (F.col("m") > 0))
     per_span = {
         s: {"new_user_count": F.col(f"new_{s}").cast("bigint"), "active_user_count": F.col(f"act_{s}").cast("bigint")}
         for s in SPANS
     }
-    return _unpivot(both, ["dt"], per_span).select("dt", "recent_days", "new_user_count", "active_user_count")
+    return _unpivot(both, [], per_span).select(_dt(do_date), "recent_days", "new_user_count", "active_user_count")
 
 
 def user_stats_filter_form(register: DataFrame, login_td_today: DataFrame, do_date: str) -> DataFrame:
@@ -233,22 +235,21 @@ def user_action(
 # ----------------------------------------------------------------------- R8
 def new_buyer_stats(order_td: DataFrame, payment_td: DataFrame, do_date: str) -> DataFrame:
     """First-time orderers and payers per span."""
-    o = order_td.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum(F.when(F.col("order_date_first") >= _since(do_date, s), 1).otherwise(0)).alias(f"o_{s}") for s in SPANS],
-    )
-    p = payment_td.agg(
-        F.count(F.lit(1)).alias("m"),
-        *[F.sum(F.when(F.col("payment_date_first") >= _since(do_date, s), 1).otherwise(0)).alias(f"p_{s}") for s in SPANS],
-    )
-    both = o.withColumn("dt", F.lit(do_date)).join(p.withColumn("dt", F.lit(do_date)), "dt").where(
+    # one aggregation over both inputs' tagged rows (no join between two one-row results)
+    o_rows = order_td.select(F.lit(1).alias("n"), F.lit(0).alias("m"), *[
+        F.when(F.col("order_date_first") >= _since(do_date, s), 1).otherwise(0).alias(f"o_{s}") for s in SPANS],
+        *[F.lit(0).alias(f"p_{s}") for s in SPANS])
+    p_rows = payment_td.select(F.lit(0).alias("n"), F.lit(1).alias("m"), *[F.lit(0).alias(f"o_{s}") for s in SPANS], *[
+        F.when(F.col("payment_date_first") >= _since(do_date, s), 1).otherwise(0).alias(f"p_{s}") for s in SPANS])
+    cols = ["n", "m", *[f"o_{s}" for s in SPANS], *[f"p_{s}" for s in SPANS]]
+    both = o_rows.unionByName(p_rows).agg(*[F.sum(c).alias(c) for c in cols]).where(
         (F.col("n") > 0) & (F.col("m") > 0))
     per_span = {
         s: {"new_order_user_count": F.col(f"o_{s}").cast("bigint"), "new_payment_user_count": F.col(f"p_{s}").cast("bigint")}
         for s in SPANS
     }
-    return _unpivot(both, ["dt"], per_span).select(
-        "dt", "recent_days", "new_order_user_count", "new_payment_user_count"
+    return _unpivot(both, [], per_span).select(
+        _dt(do_date), "recent_days", "new_order_user_count", "new_payment_user_count"
     )
 
 

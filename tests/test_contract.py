@@ -59,3 +59,12 @@ def test_query_matches_oracle(spark, con, name):
     idx = [ocols.index(c) for c in cols]
     want = sorted((tuple(_norm(r[i]) for i in idx) for r in res.fetchall()), key=repr)
     assert got == want
+
+
+def test_no_cartesian_or_nested_loop_joins(spark, con):
+    """No registered query plans a cross product (all joins are equi-joins)."""
+    bad = []
+    for name, fn in entry.queries().items():
+        plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
+        bad += [(name, op) for op in ("CartesianProduct", "BroadcastNestedLoopJoin") if op in plan]
+    assert bad == []
