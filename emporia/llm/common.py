@@ -38,6 +38,19 @@ def crc_of(col: str):
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")))
 
 
+def sampled(df: DataFrame, by: list, size: int, salt: int) -> DataFrame:
+    """About ``size`` rows (all, if there are fewer), chosen by a hash of the columns ``by``.
+
+    Each task keeps its share before anything moves. Rows that agree in ``by`` are chosen together;
+    the limit only bounds what such rows could add.
+    """
+    total = df.count()
+    if total <= size:
+        return df
+    chance = F.pmod(F.xxhash64(*by, F.lit(salt)), F.lit(1 << 30))
+    return df.filter(chance < int(size / total * (1 << 30)) + 1).limit(4 * size)
+
+
 def worker_memory() -> dict:
     """A dict that lives as long as the Python worker, for what one task may leave to the next."""
     home = sys.modules.setdefault("emporia_worker_memory", types.ModuleType("emporia_worker_memory"))

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from emporia.llm.common import staged
+from emporia.llm.common import sampled, staged
 
 PIVOTS = 128
 ORDER = 64
@@ -72,10 +72,9 @@ def nearest(vectors: DataFrame, k: int = 20, is_query=None, key: str = "vec_id",
     """(query_id, rank, vec_id, score): the ``k`` nearest found of each query by inner product."""
     spark = vectors.sparkSession
     rows = staged(spark, usable(vectors, key, vector), "vectors")
-    total = rows.count()
     schema = "query_id bigint, vec_id bigint, score double"
-    # Fitted on a bounded sample: the PIVOTS vectors that come first by a hash of their id.
-    sample = rows.orderBy(F.xxhash64("id", F.lit(5)), "id").limit(PIVOTS).select("v").collect()
+    # Fitted on a bounded sample: PIVOTS of some more vectors that are chosen by a hash of their id.
+    sample = sampled(rows, ["id"], 2 * PIVOTS, 5).orderBy(F.xxhash64("id", F.lit(5)), "id").limit(PIVOTS).select("v").collect()
     if not sample:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     pivots = np.array([r.v for r in sample], float)

@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm.common import _MULT, Powers, mix64, staged, text_chunks, word_hashes
+from emporia.llm.common import _MULT, Powers, mix64, sampled, staged, text_chunks, word_hashes
 
 WORDS = 5
 #: Documents link at 100 * intersection >= PERCENT * union.
@@ -78,10 +78,7 @@ def frequent_shingles(docs: DataFrame, text: str = "text", key: str = "doc_id")
                 rank = np.arange(len(code)) - np.repeat(start[:-1], np.diff(start))
                 yield pa.RecordBatch.from_arrays([pa.array(code[rank < SAMPLE_SHINGLES].view(np.int64))], names=["s"])
 
-    some = docs.select(key, text, F.xxhash64(F.col(key).cast("string"), F.lit(7)).alias("h")).filter(F.col(text).isNotNull())
-    total = some.count()
-    if total > SAMPLE_DOCS:
-        some = some.filter(F.pmod("h", F.lit(1 << 20)) < int(SAMPLE_DOCS / total * (1 << 20)))
+    some = sampled(docs.select(key, text).filter(F.col(text).isNotNull()), [key], SAMPLE_DOCS, 7)
     seen = some.select(text).mapInArrow(run, "s bigint").groupBy("s").count().filter("count >= 2")
     return np.sort(seen.select("s").toPandas()["s"].to_numpy().view(np.uint64))
 

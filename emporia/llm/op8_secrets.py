@@ -6,7 +6,7 @@ ordinary identifiers (the sample's words, alone and joined as people join names)
 characters that no pattern covers becomes a finding of kind ``random`` when the first model
 explains it better than the second by ``THRESHOLD`` nats per character.
 
-Only the fit uses a bounded sample (``sample_docs`` documents, the lowest by a hash of doc_id);
+Only the fit uses a bounded sample (about ``sample_docs`` documents, chosen by a hash);
 the scan reads every text whole. Native expressions only.
 
 Defined results. NULL or empty text: no spans. Repeated rows are scanned each on its own; an
@@ -23,6 +23,8 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emporia.llm.common import sampled
+
 #: kind, pattern, group that holds the value, least length of that group (dropped below it).
 BASE = [
     ("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
@@ -88,11 +90,10 @@ def _drawn_strings(rng: random.Random) -> list[str]:
 def train(docs: DataFrame, text: str = "text", key: str = "doc_id", sample_docs: int = SAMPLE_DOCS) -> list[float]:
     """Log-likelihood ratios (random against ordinary) of 128 x 128 character pairs; row 0 is a start.
 
-    Takes at most ``sample_docs`` documents, of each at most 200 words and 20 labelled values, so
+    Takes about ``sample_docs`` documents (never over four times that), of each at most 200 words and 20 labelled values, so
     what comes to the driver is bounded.
     """
-    order = F.xxhash64(F.col(key).cast("string"))
-    some = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("t")).orderBy(order, key).limit(sample_docs)
+    some = sampled(docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("t")), [key, "t"], sample_docs, 3)
     found = F.slice(F.transform(base_spans(F.col("t")), lambda s: s["value"]), 1, 20)
     words = F.slice(F.array_distinct(F.regexp_extract_all("t", F.lit(r"\b[A-Za-z]{3,}\b"), F.lit(0))), 1, 200)
     rows = some.select(found.alias("found"), words.alias("words")).collect()
