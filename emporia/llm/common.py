@@ -17,7 +17,7 @@ from emporia.session import ensure_checkpoint_dir
 
 SPACE = r"[\x20\x09-\x0D]+"
 #: Bytes of text that one vectorised step works on; a longer document is one step of its own.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 _MULT = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -30,9 +30,16 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/emporia-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()  # lets Spark drop the shuffle files of what is written now
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_small_batches(docs: DataFrame, rows: int = 1000) -> DataFrame:
+    """``docs``, with Arrow batches of at most so many rows in the session: texts can be long."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return docs
+
+
 def crc_of(col: str):
     """crc32 of an integer column written as text (of the empty text for NULL)."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")))
@@ -85,7 +92,7 @@ class Powers:
 
     def reach(self, n: int) -> None:
         if len(self.up) < n:
-            size = max(n, CHUNK_BYTES + 1)
+            size = n + (n >> 3)
             for name, base in (("up", _MULT), ("down", _inverse(_MULT))):
                 steps = np.full(size, base, np.uint64)
                 steps[0] = 1

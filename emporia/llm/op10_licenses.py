@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from emporia.llm.common import with_small_batches
 from emporia.llm.license_texts import LICENSE_TEXTS
 
 COVERAGE = 0.75
@@ -160,7 +161,7 @@ def scanned(docs: DataFrame, templates: dict[str, str] | None = None, coverage:
                                              names=[f.name for f in kept] + ["findings"])
 
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
-    return docs.mapInArrow(run, schema + "findings array<struct<license:string,start:int,end:int,coverage:double>>")
+    return with_small_batches(docs).mapInArrow(run, schema + "findings array<struct<license:string,start:int,end:int,coverage:double>>")
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from emporia.llm.common import staged, text_chunks, worker_memory
+from emporia.llm.common import staged, text_chunks, with_small_batches, worker_memory
 from emporia.llm.parts import PartTable
 
 CAPACITY = 2048
@@ -242,7 +242,7 @@ def packed(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, with_ids: bool = False) -> DataFrame:
     """Pieces of all documents with their places, the token ids included on demand."""
-    return packed(staged(docs.sparkSession, pieces(docs, capacity, path, with_ids=with_ids), "packing-pieces"), capacity)
+    return packed(staged(with_small_batches(docs).sparkSession, pieces(docs, capacity, path, with_ids=with_ids), "packing-pieces"), capacity)
 
 
 def op4_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm.common import text_chunks, worker_memory
+from emporia.llm.common import text_chunks, with_small_batches, worker_memory
 from emporia.llm.parts import PartTable, spread
 
 #: Token pairs whose fit a worker remembers; beyond it the memory starts anew.
@@ -215,7 +215,7 @@ def _map_texts(docs: DataFrame, columns: str, schema: str, rows, path: str | Non
             yield pa.RecordBatch.from_arrays([c for _, c in kept] + new, names=[n for n, _ in kept] + names)
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "__text" and f.name not in names)
-    return docs.mapInArrow(run, f"{kept}, {columns}" if kept else columns)
+    return with_small_batches(docs).mapInArrow(run, f"{kept}, {columns}" if kept else columns)
 
 
 def encoded(docs: DataFrame, path: str | None = None, pattern: str | None = None, text: str = "text") -> DataFrame:

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm.common import _LOWER, crc_of, text_chunks, word_spans
+from emporia.llm.common import _LOWER, crc_of, text_chunks, with_small_batches, word_spans
 
 #: A trigram below this share of its language's trigrams counts as unseen.
 MIN_SHARE = 1e-6
@@ -73,7 +73,7 @@ def trigram_counts(train: DataFrame, text: str = "text", lang: str = "lang") ->
         for name, (g, c) in held.items():
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(g)), pa.array(g.astype(np.int32)), pa.array(c.astype(np.int64))], names=["lang", "gram", "n"])
 
-    rows = train.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(lang, text)
+    rows = with_small_batches(train).filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(lang, text)
     return rows.mapInArrow(run, "lang string, gram int, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 

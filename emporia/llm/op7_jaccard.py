@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm.common import _MULT, Powers, mix64, sampled, staged, text_chunks, word_hashes
+from emporia.llm.common import _MULT, Powers, mix64, sampled, staged, text_chunks, with_small_batches, word_hashes
 
 WORDS = 5
 #: Documents link at 100 * intersection >= PERCENT * union.
@@ -124,8 +124,8 @@ def measured(pairs: DataFrame, docs: DataFrame, text: str = "text", key: str = "
 
         powers = Powers()
         for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                part = batch.slice(begin, 256)
+            for begin in range(0, batch.num_rows, 128):
+                part = batch.slice(begin, 128)
                 both = []
                 for side in ("ta", "tb"):
                     one = [(code[x:y]) for _, data, at in text_chunks(part, side) for code, start in [shingles(data, at, powers)]
@@ -175,19 +175,19 @@ def _is_link():
 
 def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, and class_id, the smallest doc_id of its equal sets."""
-    spark = docs.sparkSession
+    spark = with_small_batches(docs).sparkSession
     rows = staged(spark, points(docs, text, key), "points")
     one = rows.filter("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("class_id"))
     classes = rows.select("doc_id", "n", "h1", "h2").join(one, ["n", "h1", "h2"], "left").select(
         "doc_id", "n", F.coalesce("class_id", "doc_id").alias("class_id"))
     classes = staged(spark, classes, "classes")
     reps = rows.filter("n > 0").join(classes.filter("doc_id = class_id").select("doc_id").distinct(), "doc_id", "left_semi")
-    posted = reps.select(F.col("doc_id").alias("id"), "n", F.explode("cells").alias("cell")).distinct()
-    cells = posted.groupBy("cell").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("id", "n")).alias("c")).filter("members >= 2")
-    posted = posted.join(cells.select("cell", F.col("c.id").alias("centre"), F.col("c.n").alias("centre_n")), "cell")
-    posted = staged(spark, posted, "cells")
+    posted = reps.select(F.col("doc_id").alias("id"), "n", F.explode("cells").alias("cell"))
+    cells = posted.groupBy("cell").agg(F.min("id").alias("centre"), F.max("id").alias("other")).filter("centre < other")
+    posted = staged(spark, posted.join(cells.select("cell", "centre"), "cell"), "cells")
 
-    pairs = posted.filter("id <> centre").filter(_near("n", "centre_n")).select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
+    sizes = classes.select(F.col("class_id").alias("centre"), F.col("n").alias("centre_n")).distinct()
+    pairs = posted.filter("id <> centre").select("id", "n", "centre").distinct().join(sizes, "centre").filter(_near("n", "centre_n")).select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
     known = staged(spark, measured(pairs, docs, text, key), "measured")
     group = components(spark, known.filter(_is_link()).select("a", "b"))
 
