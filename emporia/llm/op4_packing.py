@@ -6,7 +6,8 @@
 2. The histogram of lengths has at most ``capacity`` entries, whatever the input. Patterns of one
    to three lengths that fill a sequence exactly are enumerated, their repeat counts fitted to
    the histogram by non-negative least squares, rounded and trimmed to what is there.
-3. The residual histogram is packed best fit: the longest length left opens a pattern that
+3. The residual histogram (that of several shares of the fit, to leave short lengths for the
+   rest; the fewest sequences win) is packed best fit: the longest length left opens a pattern that
    takes the longest lengths that still fit, and is repeated as often as the counts allow.
 4. The plan, a bounded table, gives each (length, rank) its sequence and offset; a piece's rank is
    its rank in the chunk plus the counts of that length in the chunks before.
@@ -35,6 +36,8 @@ CAPACITY = 2048
 END_ID = 0
 #: Steps of the projected gradient that fits the repeat counts.
 FIT_STEPS = 150
+#: Shares of the fitted repeats that are tried; the plan with the fewest sequences counts.
+SHARES = (1.0, 0.9, 0.75, 0.5, 0.25, 0.0)
 
 
 def _table(path: str | None) -> PartTable:
@@ -187,14 +190,19 @@ def pack_rest(counts: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
 def plan_slots(counts: np.ndarray) -> dict[str, np.ndarray]:
     """The plan as slots: from rank ``rank`` of ``length`` on, each ``per`` pieces go to the next sequence."""
     fitted = fit_patterns(counts)
-    rest = counts.astype(np.int64).copy()
-    for lengths, repeats in fitted:
-        for n in lengths:
-            rest[n] -= repeats
+    plans = []
+    for share in SHARES:
+        some = [(lengths, int(share * repeats)) for lengths, repeats in fitted if int(share * repeats)]
+        rest = counts.astype(np.int64).copy()
+        for lengths, repeats in some:
+            for n in lengths:
+                rest[n] -= repeats
+        plans.append(some + pack_rest(rest))
+    plan = min(plans, key=lambda p: sum(repeats for _, repeats in p))
     taken = np.zeros(len(counts), np.int64)
     sequence = 0
     slots = []
-    for lengths, repeats in fitted + pack_rest(rest):
+    for lengths, repeats in plan:
         offset = 0
         for n in sorted(set(lengths), reverse=True):
             per = lengths.count(n)

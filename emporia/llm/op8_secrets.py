@@ -31,6 +31,20 @@ BASE = [
     ("access", r"AKIA[A-Z0-9]+", 0, 20),
     ("hex", r"[0-9a-f]+", 0, 24),
 ]
+# Words that names in programs and texts are made of.
+PLAIN_WORDS = """about account action after again always amount another application archive array available background backup balance before
+between block boolean buffer button cache callback change channel character children class client collection column command comment
+common complete component condition config connection content context control convert count country create current customer data
+database date default delete description detail device dictionary directory display document domain double download element email
+enable encode error event example exception execute export extension factory failure feature field file filter folder format
+function general generate global group handler header height history identifier image important index information instance integer
+interface internal invoice keyword language library license linear list local location manager message method minimum model module
+monitor name network notification number object option order ordinary output package parameter parent path pattern payment people
+plain position previous primary process product profile project property public query random record reference register request
+resource response result return schema school search section security selected sequence server service session setting simple
+source standard start status storage string structure system table target template through thread timeout together transaction
+transport update upload username validate value variable version virtual visible warning window without working""".split()
+
 #: Cheap tests that a text with a match passes.
 _MAY = {"assign": r"(?i:passw|secret|token|api_?key)", "access": r"AKIA[A-Z0-9]{16}", "hex": r"[0-9a-f]{24}"}
 KINDS = [k for k, *_ in BASE] + ["random"]
@@ -99,8 +113,9 @@ def train(docs: DataFrame, text: str = "text", key: str = "doc_id", sample_docs:
     rows = some.select(found.alias("found"), words.alias("words")).collect()
     rng = random.Random(11)
     secrets = _drawn_strings(rng) + [v for r in rows for v in r.found if len(v) >= 16]
-    names = [w for r in rows for w in r.words] or ["name", "value", "index"]
-    joined = [rng.choice("_-/+=").join(rng.sample(names, 2)) for _ in range(len(names) // 4) if len(names) > 1]
+    names = [w for r in rows for w in r.words] + PLAIN_WORDS * max(1, sum(len(r.words) for r in rows) // (8 * len(PLAIN_WORDS)))
+    parted = [f(w) for w in names for f in (str, str.capitalize)]
+    joined = [rng.choice(["_", "-", "/", "+", "=", ""]).join(rng.sample(parted, 3)) for _ in range(len(names) // 3)]
     numbered = [f"{w}_{rng.randint(0, 2030)}" for w in names[:: 20]]
     key_chars = len(string.ascii_letters + string.digits) + 5
     good, plain = _pair_counts(secrets), _pair_counts(names + joined + numbered)
