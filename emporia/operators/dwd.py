@@ -7,7 +7,7 @@ job) or on many days at once (first-day / back-fill job) unchanged.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emporia.functions.sessions import first_row_per_group, running_start
@@ -32,9 +32,16 @@ def _day(df: DataFrame, do_date: str | None) -> DataFrame:
 
 
 # ------------------------------------------------------------------ trade
-def trade_cart_add(cart_inc: DataFrame, dictionary: DataFrame, do_date: str | None = None) -> DataFrame:
-    """cart additions — inserts, and updates that raised the quantity (delta = new − old)."""
+def trade_cart_add(cart_inc: DataFrame, dictionary: DataFrame, do_date: str | None = None, first_day: bool = False) -> DataFrame:
+    """cart additions — inserts, and updates that raised the quantity (delta = new − old).
+
+    On the first day the bootstrapped cart lines are the additions, each on the day it was made.
+    """
     c = _day(cart_inc, do_date)
+    if first_day:
+        c = c.where(F.col("type") == "bootstrap-insert").withColumn("dt", date_of_text("data.create_time"))
+        made = F.coalesce(F.unix_timestamp(F.to_utc_timestamp("data.create_time", "GMT+8")), F.col("ts"))
+        c = c.withColumn("ts", made).withColumn("type", F.lit("insert"))
     old_num = F.col("old").getItem("sku_num")
     raised = (F.col("type") == "update") & old_num.isNotNull() & (
         F.col("data.sku_num") > old_num.cast("bigint")
@@ -487,14 +494,22 @@ LOGIN_OUT = ["user_id", "date_id", "login_time", "channel", "province_id", "vers
              "model", "operate_system"]
 
 
-def user_register(user_inc: DataFrame, log: DataFrame, province: DataFrame, do_date: str | None = None) -> DataFrame:
-    """new users ⟕ their ``register`` page log of that day ⟕ province."""
-    ui = _day(user_inc, do_date).where(F.col("type") == "insert").select(
-        F.col("data.id").alias("user_id"), F.col("data.create_time").alias("create_time"), "dt"
+def user_register(user_inc: DataFrame, log: DataFrame, province: DataFrame, do_date: str | None = None,
+                  first_day: bool = False) -> DataFrame:
+    """new users ⟕ their first ``register`` page log of that day ⟕ province, one row per user.
+
+    On the first day the bootstrapped users are the registrations, each on the day it was made.
+    """
+    ui = _day(user_inc, do_date).where(F.col("type") == ("bootstrap-insert" if first_day else "insert")).select(
+        F.col("data.id").alias("user_id"), F.col("data.create_time").alias("create_time"),
+        (date_of_text("data.create_time") if first_day else F.col("dt")).alias("dt"),
     )
-    lg = _day(log, do_date).where(
+    pages = _day(log, do_date).where(
         (F.col("page.page_id") == "register") & F.col("common.uid").isNotNull()
-    ).select(*[c for c in _common() if True], F.col("dt").alias("__ldt"))
+    ).select(*_common(), "ts", F.col("dt").alias("__ldt"))
+    # the first page by time, ties by device: a partial group limit keeps the sort small
+    order = Window.partitionBy("user_id", "__ldt").orderBy("ts", "mid_id", "channel", "version_code")
+    lg = pages.withColumn("__first", F.row_number().over(order)).where("__first = 1").drop("__first", "ts")
     lg = lg.withColumnRenamed("user_id", "__luid")
     j = ui.join(lg, (ui.user_id == F.col("__luid")) & (ui.dt == F.col("__ldt")), "left")
     j = _with_province(j, province)

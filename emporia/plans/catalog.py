@@ -169,6 +169,11 @@ class Warehouse:
     def register(self, start=None, end=None) -> DataFrame:
         return dwd.user_register(self.b.ods_user_inc(start, end), self.b.ods_log(start, end), self.b.ods_province())
 
+    def register_first_day(self) -> DataFrame:
+        """The same users, bootstrapped: each goes to the day it registered."""
+        users = self.b.ods_user_inc().withColumn("type", F.lit("bootstrap-insert")).withColumn("dt", F.lit(self.t))
+        return dwd.user_register(users, self.b.ods_log(), self.b.ods_province(), first_day=True)
+
     @_shared
     def session_1d(self, start=None, end=None) -> DataFrame:
         return dws.traffic_session_page_view_1d(self.page_view(start, end))
@@ -254,6 +259,7 @@ def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["dwd_traffic_display_inc"] = lambda w: dwd.traffic_display(w.b.ods_log(), w.b.ods_province())
     q["dwd_traffic_error_inc"] = lambda w: dwd.traffic_error(w.b.ods_log(), w.b.ods_province())
     q["dwd_user_register_inc"] = lambda w: w.register()
+    q["dwd_user_register_first_day"] = lambda w: w.register_first_day()
     q["dwd_user_login_inc"] = lambda w: w.login()
     q["sessionize_running_sum"] = lambda w: dwd.session_running_count(w.b.ods_log())
     # ---- DWS traffic / users
@@ -316,13 +322,14 @@ def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def log_routing(w: Warehouse) -> DataFrame:
-    """S6 + S7 on the app log rendered as JSON lines, some truncated: lines kept per event day."""
+    """S6 + S7 on the app log rendered as JSON lines, some truncated: the lines kept, with their event day."""
     log = w.b.ods_log()
     line = F.to_json(F.struct("common", "page", "actions", "displays", "start", "err", "ts"))
     broken = (F.col("ts") % CORRUPT_EVERY) == CORRUPT_AT
     lines = log.select(F.when(broken, F.substring(line, 1, 25)).otherwise(line).alias("value"))
     routed = routing.route_log(lines)
-    return routed.groupBy("dt").agg(F.count(F.lit(1)).alias("lines"))
+    kept = F.from_json("value", "common STRUCT<mid: STRING>, ts BIGINT")
+    return routed.select("dt", kept.alias("k")).select("dt", "k.ts", "k.common.mid")
 
 
 def change_routing(w: Warehouse) -> DataFrame:
@@ -331,7 +338,7 @@ def change_routing(w: Warehouse) -> DataFrame:
         return df.select(F.to_json(F.struct(F.lit(table).alias("table"), "type", "ts", "data", "old")).alias("value"))
 
     lines = as_lines(w.ods.order_info_inc(), "order_info").unionByName(as_lines(w.ods.payment_info_inc(), "payment_info"))
-    routed = routing.with_change_route(routing.drop_invalid_json(lines))
+    routed = routing.route_changes(lines)
     return routed.groupBy("table", "dt").agg(F.count(F.lit(1)).alias("records"))
 
 

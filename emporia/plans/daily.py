@@ -14,10 +14,7 @@ result. This module only orders the steps; Spark does the work.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
-from pyspark.errors import AnalysisException
-from pyspark.sql.types import StructType
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,20 +52,21 @@ class Chain:
     ods_root: str  # raw files: <ods_root>/ods_<table>_{full,inc}/dt=<day>/
     wh_root: str  # warehouse tables: <wh_root>/<table>/dt=<day>/
     publish_root: str | None = None  # published reports (keyed upsert)
-    schemas: dict[str, StructType] = field(default_factory=dict)  # of tables written by this run
+    quiet: frozenset[str] = frozenset()  # change tables whose day folder may be missing (a day without changes)
 
     # ------------------------------------------------------------------ io
     def path(self, table: str) -> str:
         return tables.table_path(self.wh_root, table)
 
     def read(self, table: str, days: list[str] | None = None) -> DataFrame:
-        """A warehouse table; an empty table written by this run reads as empty, typed."""
-        try:
-            return tables.read_table(self.spark, self.path(table), days)
-        except AnalysisException:
-            if table not in self.schemas:
-                raise
-            return self.spark.createDataFrame([], self.schemas[table])
+        """A warehouse table; its declared columns type it, also where it is empty."""
+        return tables.read_table(self.spark, self.path(table), days)
+
+    def state(self, table: str, day: str) -> DataFrame:
+        """A day that the next one builds on; it must have been written."""
+        if not tables._exists(self.spark, f"{self.path(table)}/dt={day}"):
+            raise FileNotFoundError(f"{table} has no {day}: run that day first")
+        return self.read(table, [day])
 
     def window(self, table: str, do_date: str, days: int = 30) -> DataFrame:
         lo = shift_date(do_date, -(days - 1))
@@ -78,13 +76,12 @@ class Chain:
         return files.read_snapshot(self.spark, self.ods_root, table, [d])
 
     def inc(self, table: str, days: list[str]) -> DataFrame:
-        return files.read_changes(self.spark, self.ods_root, table, days)
+        return files.read_changes(self.spark, self.ods_root, table, days, may_be_absent=table in self.quiet)
 
     def log(self, d: str) -> DataFrame:
         return files.read_log(self.spark, self.ods_root, [d])
 
     def put(self, df: DataFrame, table: str, d: str | None = None) -> None:
-        self.schemas[table] = df.schema if d is None or "dt" in df.columns else df.withColumn("dt", F.lit(d)).schema
         if d is None:
             tables.overwrite_dynamic(df, self.path(table))
         else:
@@ -100,7 +97,7 @@ class Chain:
         for name in names:
             loaded[name] = tables.load_ods_day(self.spark, f"{landing_root}/{name}/{d}", f"{self.ods_root}/{name}", d)
         loaded["ods_log_inc"] = tables.load_ods_day(
-            self.spark, f"{landing_root}/ods_log_inc/{d}", f"{self.ods_root}/ods_log_inc", d, append=True)
+            self.spark, f"{landing_root}/ods_log_inc/{d}", f"{self.ods_root}/ods_log_inc", d)
         return loaded
 
     # ------------------------------------------------------------------ DIM
@@ -120,12 +117,17 @@ class Chain:
     def load_user_zip(self, d: str, first_day: bool) -> None:
         users = self.inc("user_info", [d])
         if first_day:
-            out = dim.user_zip_init(users, d)
-        else:
-            open_rows = self.read("dim_user_zip", [OPEN]).drop("dt")
-            # the merge reads the partition it replaces: stage it first
-            out = tables.staged(dim.user_zip(open_rows, users, d))
-        self.put(out, "dim_user_zip")
+            self.put(dim.user_zip_init(users, d).drop("dt"), "dim_user_zip", OPEN)
+            return
+        prev = shift_date(d, -1)
+        zipper = self.read("dim_user_zip", [OPEN, prev])
+        newest = self.state("dim_user_zip", OPEN).agg(F.max("start_date")).first()[0]
+        if newest and newest > d:
+            raise ValueError(f"dim_user_zip already holds {newest}; {d} can't be merged after it")
+        # the merge reads the partitions it replaces: stage it first
+        out = tables.staged(dim.user_zip(dim.zipper_before(zipper, d), users, d))
+        self.put(out.where(F.col("dt") == F.lit(prev)).drop("dt"), "dim_user_zip", prev)
+        self.put(out.where(F.col("dt") == F.lit(OPEN)).drop("dt"), "dim_user_zip", OPEN)
 
     # ------------------------------------------------------------------ DWD
     def load_dwd(self, d: str, first_day: bool) -> None:
@@ -138,7 +140,7 @@ class Chain:
         self.put(dwd.trade_order_detail(self.inc("order_detail", [d]), self.inc("order_info", [d]),
                                         self.inc("order_detail_activity", [d]), self.inc("order_detail_coupon", [d]),
                                         dic, d, **fd), "dwd_trade_order_detail_inc", target)
-        self.put(dwd.trade_cart_add(self.inc("cart_info", [d]), dic, d), "dwd_trade_cart_add_inc", d)
+        self.put(dwd.trade_cart_add(self.inc("cart_info", [d]), dic, d, **fd), "dwd_trade_cart_add_inc", target)
         self.put(dwd.trade_cart_full(self.snap("cart_info", d), d), "dwd_trade_cart_full", d)
         both = [d] if first_day else [prev, d]
         self.put(dwd.trade_cancel_detail(self.inc("order_detail", both), self.inc("order_info", both),
@@ -166,7 +168,7 @@ class Chain:
         self.put(dwd.traffic_display(log, prov, d), "dwd_traffic_display_inc", d)
         self.put(dwd.traffic_error(log, prov, d), "dwd_traffic_error_inc", d)
         self.put(dwd.user_login(log, prov, d), "dwd_user_login_inc", d)
-        self.put(dwd.user_register(self.inc("user_info", [d]), log, prov, d), "dwd_user_register_inc", d)
+        self.put(dwd.user_register(self.inc("user_info", [d]), log, prov, d, **fd), "dwd_user_register_inc", target)
 
     # ------------------------------------------------------------------ DWS
     def load_dws_1d(self, d: str, first_day: bool) -> None:
@@ -179,23 +181,14 @@ class Chain:
         self.put(dws.trade_user_order_1d(od), "dws_trade_user_order_1d", target)
         self.put(dws.trade_province_order_1d(od, prov), "dws_trade_province_order_1d", target)
         self.put(dws.trade_user_cart_add_1d(self.read("dwd_trade_cart_add_inc", days)), "dws_trade_user_cart_add_1d", target)
-        for src, a, b in (
-            ("dwd_trade_order_refund_inc", "dws_trade_user_sku_order_refund_1d", "dws_trade_user_order_refund_1d"),
-        ):
-            if tables._exists(self.spark, self.path(src)):
-                refund = self.read(src, days)
-                self.put(dws.trade_user_sku_order_refund_1d(refund, sku), a, target)
-                self.put(dws.trade_user_order_refund_1d(refund), b, target)
-        if tables._exists(self.spark, self.path("dwd_trade_pay_detail_suc_inc")):
-            self.put(dws.trade_user_payment_1d(self.read("dwd_trade_pay_detail_suc_inc", days)),
-                     "dws_trade_user_payment_1d", target)
+        refund = self.read("dwd_trade_order_refund_inc", days)
+        self.put(dws.trade_user_sku_order_refund_1d(refund, sku), "dws_trade_user_sku_order_refund_1d", target)
+        self.put(dws.trade_user_order_refund_1d(refund), "dws_trade_user_order_refund_1d", target)
+        self.put(dws.trade_user_payment_1d(self.read("dwd_trade_pay_detail_suc_inc", days)), "dws_trade_user_payment_1d", target)
         pv = self.read("dwd_traffic_page_view_inc", [d])
         self.put(dws.traffic_session_page_view_1d(pv), "dws_traffic_session_page_view_1d", d)
         self.put(dws.traffic_page_visitor_page_view_1d(pv), "dws_traffic_page_visitor_page_view_1d", d)
 
-    def _opt(self, table: str, do_date: str) -> DataFrame | None:
-        return self.window(table, do_date) if tables._exists(self.spark, self.path(table)) else None
-
     def load_dws_nd(self, d: str) -> None:
         pairs = [
             ("dws_trade_user_sku_order_1d", "dws_trade_user_sku_order_nd", dws.trade_user_sku_order_nd),
@@ -209,9 +202,7 @@ class Chain:
              dws.traffic_page_visitor_page_view_nd),
         ]
         for src, out, op in pairs:
-            df = self._opt(src, d)
-            if df is not None:
-                self.put(op(df, d), out, d)
+            self.put(op(self.window(src, d), d), out, d)
         od = self.window("dwd_trade_order_detail_inc", d)
         self.put(dws.trade_coupon_order_nd(od, self.read("dim_coupon_full", [d]).drop("dt"), d),
                  "dws_trade_coupon_order_nd", d)
@@ -222,21 +213,15 @@ class Chain:
         prev = shift_date(d, -1)
         if first_day:
             self.put(dws.trade_user_order_td_init(self.read("dws_trade_user_order_1d"), d), "dws_trade_user_order_td", d)
-            if tables._exists(self.spark, self.path("dws_trade_user_payment_1d")):
-                self.put(dws.trade_user_payment_td_init(self.read("dws_trade_user_payment_1d"), d),
-                         "dws_trade_user_payment_td", d)
+            self.put(dws.trade_user_payment_td_init(self.read("dws_trade_user_payment_1d"), d), "dws_trade_user_payment_td", d)
             users = self.read("dim_user_zip", [OPEN]).drop("dt")
             self.put(dws.user_login_td_init(users, self.read("dwd_user_login_inc", [d]), d), "dws_user_user_login_td", d)
             return
-        self.put(dws.trade_user_order_td(self.read("dws_trade_user_order_td", [prev]),
+        self.put(dws.trade_user_order_td(self.state("dws_trade_user_order_td", prev),
                                          self.read("dws_trade_user_order_1d", [d]), d), "dws_trade_user_order_td", d)
-        pay_1d = self.read("dws_trade_user_payment_1d", [d])
-        if tables._exists(self.spark, self.path("dws_trade_user_payment_td")):
-            old = self.read("dws_trade_user_payment_td", [prev])
-            self.put(dws.trade_user_payment_td(old, pay_1d, d), "dws_trade_user_payment_td", d)
-        else:
-            self.put(dws.trade_user_payment_td_init(pay_1d, d), "dws_trade_user_payment_td", d)
-        self.put(dws.user_login_td(self.read("dws_user_user_login_td", [prev]), self.read("dwd_user_login_inc", [d]), d),
+        self.put(dws.trade_user_payment_td(self.state("dws_trade_user_payment_td", prev),
+                                           self.read("dws_trade_user_payment_1d", [d]), d), "dws_trade_user_payment_td", d)
+        self.put(dws.user_login_td(self.state("dws_user_user_login_td", prev), self.read("dwd_user_login_inc", [d]), d),
                  "dws_user_user_login_td", d)
 
     # ------------------------------------------------------------------ ADS
@@ -247,9 +232,9 @@ class Chain:
         out = {
             "ads_traffic_stats_by_channel": ads.traffic_stats_by_channel(self.window("dws_traffic_session_page_view_1d", d), d),
             "ads_page_path": ads.page_path(self.window("dwd_traffic_page_view_inc", d), d),
-            "ads_user_change": ads.user_change(today("dws_user_user_login_td"), r("dws_user_user_login_td", [prev]), d),
-            "ads_user_retention": ads.user_retention(r("dwd_user_register_inc"), today("dws_user_user_login_td"), d),
-            "ads_user_stats": ads.user_stats(r("dwd_user_register_inc"), today("dws_user_user_login_td"), d),
+            "ads_user_change": ads.user_change(today("dws_user_user_login_td"), self.state("dws_user_user_login_td", prev), d),
+            "ads_user_retention": ads.user_retention(self.window("dwd_user_register_inc", d, 8), today("dws_user_user_login_td"), d),
+            "ads_user_stats": ads.user_stats(self.window("dwd_user_register_inc", d), today("dws_user_user_login_td"), d),
             "ads_new_buyer_stats": ads.new_buyer_stats(today("dws_trade_user_order_td"), today("dws_trade_user_payment_td"), d),
             "ads_repeat_purchase_by_tm": ads.repeat_purchase_by_tm(today("dws_trade_user_sku_order_nd"), d),
             "ads_sku_cart_num_top3_by_cate": ads.sku_cart_num_top3_by_cate(
@@ -259,26 +244,23 @@ class Chain:
             "ads_coupon_stats": ads.coupon_stats(today("dws_trade_coupon_order_nd"), d),
             "ads_activity_stats": ads.activity_stats(today("dws_trade_activity_order_nd"), d),
         }
-        refund_1d = "dws_trade_user_sku_order_refund_1d"
-        if tables._exists(self.spark, self.path(refund_1d)):
-            args = (today("dws_trade_user_sku_order_1d"), today("dws_trade_user_sku_order_nd"), today(refund_1d),
-                    today("dws_trade_user_sku_order_refund_nd"), d)
-            out["ads_trade_stats_by_tm"] = ads.trade_stats_by_tm(*args)
-            out["ads_trade_stats_by_cate"] = ads.trade_stats_by_cate(*args)
-            out["ads_trade_stats"] = ads.trade_stats(
-                today("dws_trade_user_order_1d"), today("dws_trade_user_order_nd"),
-                today("dws_trade_user_order_refund_1d"), today("dws_trade_user_order_refund_nd"), d)
-            out["ads_user_action"] = ads.user_action(
-                today("dws_traffic_page_visitor_page_view_1d"), today("dws_traffic_page_visitor_page_view_nd"),
-                today("dws_trade_user_cart_add_1d"), today("dws_trade_user_cart_add_nd"),
-                today("dws_trade_user_order_1d"), today("dws_trade_user_order_nd"),
-                today("dws_trade_user_payment_1d"), today("dws_trade_user_payment_nd"), d)
+        args = (today("dws_trade_user_sku_order_1d"), today("dws_trade_user_sku_order_nd"),
+                today("dws_trade_user_sku_order_refund_1d"), today("dws_trade_user_sku_order_refund_nd"), d)
+        out["ads_trade_stats_by_tm"] = ads.trade_stats_by_tm(*args)
+        out["ads_trade_stats_by_cate"] = ads.trade_stats_by_cate(*args)
+        out["ads_trade_stats"] = ads.trade_stats(
+            today("dws_trade_user_order_1d"), today("dws_trade_user_order_nd"),
+            today("dws_trade_user_order_refund_1d"), today("dws_trade_user_order_refund_nd"), d)
+        out["ads_user_action"] = ads.user_action(
+            today("dws_traffic_page_visitor_page_view_1d"), today("dws_traffic_page_visitor_page_view_nd"),
+            today("dws_trade_user_cart_add_1d"), today("dws_trade_user_cart_add_nd"),
+            today("dws_trade_user_order_1d"), today("dws_trade_user_order_nd"),
+            today("dws_trade_user_payment_1d"), today("dws_trade_user_payment_nd"), d)
         return out
 
     def load_ads(self, d: str) -> None:
         for name, df in self.reports(d).items():
-            self.schemas[name] = df.schema
-            tables.replace_report_day(self.spark, df, self.path(name))
+            tables.replace_report_day(self.spark, df, self.path(name), d)
             if self.publish_root:
                 published = self.read(name, [d])
                 if not tables.drop_empty(published):

@@ -14,6 +14,10 @@ WAREHOUSE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # shuffles start fine-grained and are coalesced to the advisory size, so the count follows the
+    # data and not a default; a cluster overrides both for its memory per core
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # partition overwrite only replaces the partitions a write touches
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # dt=yyyy-MM-dd folders stay STRING (inference would make them DATE)
@@ -23,6 +27,18 @@ WAREHOUSE_CONF = {
 }
 
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+#: On one machine a fine-grained start only costs; the session's own shuffle count is used there.
+LOCAL_PARTITIONS = 32
+#: Settings of a running session that are kept if the cluster (or the caller) has set them.
+SIZING = (INITIAL_PARTITIONS, "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def is_local(spark: SparkSession) -> bool:
+    """Driver and executors are one process, so they share local folders."""
+    return spark.conf.get("spark.master", "").split("[")[0] == "local"
+
+
 def get_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
@@ -41,6 +57,8 @@ def get_session(
         builder = builder.config("spark.driver.memory", os.environ.get("EMPORIA_DRIVER_MEMORY", "16g"))
     for key, value in WAREHOUSE_CONF.items():
         builder = builder.config(key, value)
+    if master and master.startswith("local"):
+        builder = builder.config(INITIAL_PARTITIONS, str(shuffle_partitions or LOCAL_PARTITIONS))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
@@ -54,6 +72,8 @@ def get_session(
 def apply_warehouse_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable defaults to an existing session."""
     for key, value in WAREHOUSE_CONF.items():
+        if key in SIZING and (spark.conf.get(key, None) is not None or is_local(spark)):
+            continue
         try:
             spark.conf.set(key, value)
         except Exception:  # static conf on a shared session: leave as is
@@ -76,7 +96,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    path = tempfile.mkdtemp(prefix="emporia-ckpt-")  # local runs (tests) only: the setting is unset
+    if not is_local(spark):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    path = tempfile.mkdtemp(prefix="emporia-ckpt-")  # one process: a local folder is shared
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
     return path

@@ -37,9 +37,11 @@ def _paths(root: str, table: str, days: Iterable[str] | None) -> tuple[list[str]
     return [f"{base}/dt={d}" for d in days], base
 
 
-def _load(spark: SparkSession, reader, schema: T.StructType, paths: list[str]) -> DataFrame:
-    """Read the existing day folders; a missing day is an empty input, not an error."""
+def _load(spark: SparkSession, reader, schema: T.StructType, paths: list[str], may_be_absent: bool = False) -> DataFrame:
+    """Read the day folders. A missing one is an error, unless the caller knows of days without rows."""
     present = [p for p in paths if path_exists(spark, p)]
+    if len(present) < len(paths) and not may_be_absent:
+        raise FileNotFoundError(f"raw input not loaded: {sorted(set(paths) - set(present))}")
     if not present:
         return spark.createDataFrame([], schema)
     return reader(present)
@@ -59,11 +61,15 @@ def read_snapshot(spark: SparkSession, root: str, table: str, days: Iterable[str
     return _load(spark, reader.csv, schema, paths)
 
 
-def read_changes(spark: SparkSession, root: str, table: str, days: Iterable[str] | None = None) -> DataFrame:
-    """Change records ``{type, ts, data, old}`` (one JSON object per line)."""
+def read_changes(spark: SparkSession, root: str, table: str, days: Iterable[str] | None = None,
+                 may_be_absent: bool = False) -> DataFrame:
+    """Change records ``{type, ts, data, old}`` (one JSON object per line).
+
+    ``may_be_absent``: a day's folder may be missing, which then means a day without changes.
+    """
     schema = _with_dt(schemas.struct_of(schemas.change_schema(table)))
     paths, base = _paths(root, f"ods_{table}_inc", days)
-    return _load(spark, spark.read.schema(schema).option("basePath", base).json, schema, paths)
+    return _load(spark, spark.read.schema(schema).option("basePath", base).json, schema, paths, may_be_absent)
 
 
 def read_log(spark: SparkSession, root: str, days: Iterable[str] | None = None) -> DataFrame:

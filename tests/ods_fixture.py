@@ -127,6 +127,8 @@ def write(root):
     _log(root, D0, [log("m1", "u1", "home", None, "2020-06-14 10:00:00")])
     # ---- day 1: daily changes
     t1 = secs("2020-06-15 12:00:00")
+    _inc(root, "cart_info", D0, [("bootstrap-insert", t0, {"id": "k0", "user_id": "u1", "sku_id": "s1", "sku_num": 2,
+                                 "create_time": "2020-06-12 09:00:00", "source_id": None, "source_type": "2401"}, None)])
     _inc(root, "user_info", D1, [("insert", t1, user("u3", "cy", "2020-06-15 12:00:00"), None),
                                  ("update", t1, user("u1", "ann2", "2020-06-01 10:00:00"), {"name": "ann"})])
     _inc(root, "order_info", D1, [

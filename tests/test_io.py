@@ -119,7 +119,7 @@ def test_stream_change_routing(spark, tmpdir_path):
     assert got == [("cart_info_inc", "2020-06-14"), ("order_info_inc", "2020-06-15")]
 
 
-def test_landing_to_raw_overwrite_and_append(spark, tmpdir_path):
+def test_landing_to_raw_is_rerun_safe(spark, tmpdir_path):
     from emporia.plans.daily import Chain
 
     land, ods = f"{tmpdir_path}/landing", f"{tmpdir_path}/ods"
@@ -128,8 +128,11 @@ def test_landing_to_raw_overwrite_and_append(spark, tmpdir_path):
     chain = Chain(spark, ods, f"{tmpdir_path}/wh")
     done = chain.load_ods(D1, land)
     assert done["ods_order_info_inc"] and done["ods_log_inc"] and not done["ods_cart_info_inc"]
-    chain.load_ods(D1, land)  # rerun: the table day is replaced, the log day is appended to
+    chain.load_ods(D1, land)  # rerun: both days are derived anew from what landed
     assert files.read_changes(spark, ods, "order_info", [D1]).count() == 1
+    assert files.read_log(spark, ods, [D1]).count() == 1
+    _write_text(f"{land}/ods_log_inc/{D1}/late.json", [json.dumps({"ts": 1592186400001})])
+    chain.load_ods(D1, land)  # a late file of the day
     assert files.read_log(spark, ods, [D1]).count() == 2
     assert files.read_changes(spark, ods, "order_info", [D1]).first()["data"]["id"] == "1"
 

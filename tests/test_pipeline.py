@@ -1,22 +1,38 @@
 """S18/S19 end to end on a two-day raw folder: first day, daily run, rerun changes nothing."""
 
+import os
 from decimal import Decimal
 
+import pytest
+from pyspark.sql import functions as F
+
+from emporia import schemas
+from emporia.functions.spans import shift_date
 from emporia.plans.daily import Chain
 from emporia.sinks import tables
 
 from tests.ods_fixture import D0, D1, write
 
 
-def _snapshot(spark, chain, names):
-    return {n: sorted(map(tuple, chain.read(n, [D1]).collect()), key=repr) for n in names}
+QUIET = frozenset(schemas.CHANGE_DATA)  # the fixture has no folder for tables without changes
+
+
+def _layers(chain):
+    return {n: sorted(map(tuple, chain.read(n).collect()), key=repr) for n in sorted(os.listdir(chain.wh_root))}
 
 
 def test_first_day_then_daily(spark, tmpdir_path):
     ods, wh, pub = f"{tmpdir_path}/ods", f"{tmpdir_path}/wh", f"{tmpdir_path}/pub"
     write(ods)
-    chain = Chain(spark, ods, wh, pub)
+    with pytest.raises(FileNotFoundError):
+        Chain(spark, ods, wh, pub).run_first_day(D0)  # a missing input is not an empty one
+    chain = Chain(spark, ods, wh, pub, quiet=QUIET)
+    with pytest.raises(FileNotFoundError):
+        chain.load_dws_td(D1, first_day=False)  # nor is a missing day before
     chain.run_first_day(D0)
+    assert {(r["user_id"], r["dt"]) for r in chain.read("dwd_user_register_inc").collect()} >= {("u1", "2020-06-01")}
+    cart = chain.read("dwd_trade_cart_add_inc").first()
+    assert (cart["id"], cart["sku_num"], cart["dt"], cart["create_time"]) == ("k0", 2, "2020-06-12", "2020-06-12 09:00:00")
     od = chain.read("dwd_trade_order_detail_inc").collect()
     assert sorted((r["id"], r["dt"]) for r in od) == [("d0", "2020-06-12"), ("d1", "2020-06-13")]  # by own day
     assert [(r["id"], r["dt"]) for r in chain.read("dwd_trade_cancel_detail_inc").collect()] == [("d0", "2020-06-12")]
@@ -43,9 +59,49 @@ def test_first_day_then_daily(spark, tmpdir_path):
     reg = chain.read("dwd_user_register_inc", [D1]).collect()
     assert [(r["user_id"], r["mid_id"], r["province_id"]) for r in reg] == [("u3", "m3", "p1")]
 
-    names = list(chain.reports(D1))
-    before = _snapshot(spark, chain, names)
+    # every step again, in a chain that knows nothing of the first run: every layer stays as it is
+    before = _layers(chain)
+    assert len(chain.reports(D1)) == 15
     published = sorted(map(tuple, tables.read_table(spark, f"{pub}/ads_trade_stats").collect()), key=repr)
-    chain.run_day(D1)  # rerun: idempotent
-    assert _snapshot(spark, chain, names) == before
+    again = Chain(spark, ods, wh, pub, quiet=QUIET)
+    again.run_day(D1)
+    assert _layers(again) == before
     assert sorted(map(tuple, tables.read_table(spark, f"{pub}/ads_trade_stats").collect()), key=repr) == published
+
+    versions = {}
+    for r in again.read("dim_user_zip").collect():
+        versions.setdefault(r["id"], []).append((r["start_date"], r["end_date"], r["dt"]))
+    for own in versions.values():
+        own.sort()
+        assert all(a <= b for a, b, _ in own) and [e for _, e, _ in own].count("9999-12-31") == 1
+        assert all(shift_date(x[1], 1) == y[0] for x, y in zip(own, own[1:], strict=False))
+    with pytest.raises(ValueError):
+        again.load_user_zip(D0, first_day=False)  # a day before the newest version
+
+
+def test_empty_results_clear_their_day_and_stay_typed(spark, tmpdir_path):
+    path = f"{tmpdir_path}/t"
+    rows = spark.createDataFrame([("a", 1)], "k string, v long")
+    tables.overwrite_partition(rows, path, D0)
+    tables.overwrite_partition(rows.limit(0), path, D0)
+    assert tables.read_table(spark, path).collect() == [] and tables.read_table(spark, path).columns == ["k", "v", "dt"]
+    tables.overwrite_dynamic(rows.withColumn("dt", F.lit(D0)).limit(0), f"{tmpdir_path}/u")
+    assert tables.read_table(spark, f"{tmpdir_path}/u").count() == 0
+    report = rows.withColumn("dt", F.lit(D1))
+    tables.replace_report_day(spark, report, path, D1)
+    tables.replace_report_day(spark, report.limit(0), path, D1)
+    assert tables.read_table(spark, path, [D1]).count() == 0
+
+
+def test_publishing_null_keys_again_adds_nothing(spark, tmpdir_path):
+    rows = spark.createDataFrame([(D0, None, 1)], "dt string, tm_id string, n long")
+    for _ in range(3):
+        tables.report_upsert(spark, rows, f"{tmpdir_path}/r", ["dt", "tm_id"])
+    assert spark.read.parquet(f"{tmpdir_path}/r").count() == 1
+
+
+def test_files_follow_the_size_of_days(spark, tmpdir_path):
+    days = spark.range(0, 20000, 1, 16).withColumn("dt", F.concat(F.lit("2020-01-"), F.lpad((F.col("id") % 28 + 1).cast("string"), 2, "0")))
+    tables.overwrite_dynamic(days, f"{tmpdir_path}/d")
+    files = [f for _, _, names in os.walk(f"{tmpdir_path}/d") for f in names if f.endswith(".parquet")]
+    assert len(files) == 28  # one a day, not one a task and day
