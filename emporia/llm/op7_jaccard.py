@@ -7,13 +7,16 @@ with equal shingle sets are one point. Points go through two levels of pivots.
    floor(RADIUS * size) + 1 shingles of each in any common order. So each point is replicated to
    the cells of those shingles and no further. Shingles that a sample shows to be frequent come last
    in the order, which keeps passages that many documents share from forming cells.
-2. Centres within a cell. The cell's smallest point is its centre; the distance of every member is
-   measured. Members within RADIUS of the centre are linked through it, without a pair among
-   themselves. Only pairs of members that are not in one component yet are joined further, and
-   the triangle inequality leaves those whose distances from the centre differ by at most RADIUS.
-   Cells that stay large take further centres, one for each component, and go round again.
-
-Measured pairs are exact: both texts are brought together and their shingle sets compared. A cell is
+2. Centres within a cell. The cell's smallest point is its centre. Each point is first measured against
+   one centre, the smallest of its cells'; then against the centres whose component it isn't in. Members
+   within RADIUS of a centre are linked through it, without a pair among themselves. Only pairs of
+   members that are not in one component yet are joined further, and the triangle inequality leaves
+   those whose distances from the centre differ by at most RADIUS. Cells that stay large take further
+   centres, one for each component, and go round again.
+
+Before a pair is measured it is held against a bound: each set is folded into counts over ``FOLDS`` hash
+classes, and the sum of the smaller counts is never below the intersection. Measured pairs are exact:
+both texts are brought together and their shingle sets compared. A cell is
 done when its members are in one component or all remaining pairs were measured, so no link that
 joins two components is lost.
 
@@ -34,6 +37,8 @@ WORDS = 5
 #: Documents link at 100 * intersection >= PERCENT * union.
 PERCENT = 80
 RADIUS = 1 - PERCENT / 100
+#: Hash classes of the bound on intersections.
+FOLDS = 128
 #: Bounds of the sample (documents, and shingles of each) that only orders the shingles.
 SAMPLE_DOCS, SAMPLE_SHINGLES = 20_000, 400
 #: Cells with more unresolved members than this take further centres.
@@ -84,7 +89,7 @@ def frequent_shingles(docs: DataFrame, text: str = "text", key: str = "doc_id")
 
 
 def points(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Per document: doc_id, n (shingles), two hashes of the set, and the shingles whose cells it goes to."""
+    """Per document: doc_id, n (shingles), two hashes of the set, its folded counts, and the shingles whose cells it goes to."""
     often = frequent_shingles(docs, text, key)
 
     def run(batches):
@@ -107,14 +112,33 @@ def points(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
                 order = np.lexsort((code, last, row))  # frequent shingles of a row come last
                 rank = np.arange(len(code)) - start[row]
                 cells = code[order][rank < (size * (100 - PERCENT) // 100 + 1)[row]].view(np.int64)
+                folds = np.bincount(row * FOLDS + (code >> np.uint64(40)).astype(np.int64) % FOLDS, minlength=len(size) * FOLDS)
+                folds = folds.reshape(len(size), FOLDS).astype("<u4")
                 width = np.where(size > 0, size * (100 - PERCENT) // 100 + 1, 0)
                 ends = np.concatenate([[0], np.cumsum(width)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [keys.slice(begin, len(size)), pa.array(size.astype(np.int64)), *[pa.array(s.view(np.int64)) for s in sums],
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(cells))], names=["doc_id", "n", "h1", "h2", "cells"])
+                     pa.array([f.tobytes() for f in folds], pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(cells))],
+                    names=["doc_id", "n", "h1", "h2", "folds", "cells"])
 
     rows = docs.select(F.col(key).cast("bigint").alias(key), text)
-    return rows.mapInArrow(run, "doc_id bigint, n bigint, h1 bigint, h2 bigint, cells array<bigint>")
+    return rows.mapInArrow(run, "doc_id bigint, n bigint, h1 bigint, h2 bigint, folds binary, cells array<bigint>")
+
+
+def possible(pairs: DataFrame, folds: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose folded counts allow a link. ``folds``: (id, n, folds)."""
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            n = sum(batch.column(i).to_numpy() for i in (2, 4))
+            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u4").reshape(-1, FOLDS) for i in (3, 5))
+            keep = (100 + PERCENT) * np.minimum(a, b).sum(axis=1, dtype=np.int64) >= PERCENT * n
+            yield batch.select([0, 1]).filter(pa.array(keep))
+
+    side = lambda x: folds.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("folds").alias(f"f{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "fa", "nb", "fb")
+    return both.mapInArrow(run, "a bigint, b bigint")
 
 
 def measured(pairs: DataFrame, docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -186,10 +210,25 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id")
     cells = posted.groupBy("cell").agg(F.min("id").alias("centre"), F.max("id").alias("other")).filter("centre < other")
     posted = staged(spark, posted.join(cells.select("cell", "centre"), "cell"), "cells")
 
-    sizes = classes.select(F.col("class_id").alias("centre"), F.col("n").alias("centre_n")).distinct()
-    pairs = posted.filter("id <> centre").select("id", "n", "centre").distinct().join(sizes, "centre").filter(_near("n", "centre_n")).select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
-    known = staged(spark, measured(pairs, docs, text, key), "measured")
+    folds = reps.select(F.col("doc_id").alias("id"), "n", "folds").dropDuplicates(["id"])
+    folds = staged(spark, folds, "folds")
+
+    def measure(pairs: DataFrame) -> DataFrame:
+        some = staged(spark, possible(pairs, folds), "pairs")
+        return staged(spark, measured(some, docs, text, key), "measured")
+
+    to_centre = posted.filter("id <> centre")
+    first = to_centre.groupBy("id").agg(F.min("centre").alias("centre")).select(F.col("id").alias("a"), F.col("centre").alias("b"))
+    known = measure(first)
     group = components(spark, known.filter(_is_link()).select("a", "b"))
+    name = lambda c: group.select(F.col("id").alias(c), F.col("component").alias(f"g_{c}"))
+    apart = to_centre.select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    apart = apart.join(name("a"), "a", "left").join(name("b"), "b", "left")
+    apart = staged(spark, apart.filter(F.coalesce("g_a", "a") != F.coalesce("g_b", "b")).select("a", "b"), "apart")
+    tried = staged(spark, first.unionByName(apart), "tried")
+    if not apart.isEmpty():
+        known = known.unionByName(measure(apart))
+        group = components(spark, known.filter(_is_link()).select("a", "b"))
 
     # Members of cells that are not in one component yet, with their distance from the cell's centre.
     def unresolved(members: DataFrame) -> DataFrame:
@@ -209,10 +248,11 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id")
         new = wide.select("cell", "id", "n", "g").join(two.select("cell", F.col("g").alias("cg"), F.col("c.id").alias("centre"), F.col("c.n").alias("centre_n")), "cell")
         new = new.filter(F.col("g") != F.col("cg")).filter(_near("n", "centre_n"))
         new = new.select(F.greatest("id", "centre").alias("a"), F.least("id", "centre").alias("b")).distinct()
-        new = staged(spark, new.join(known.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs")
+        new = staged(spark, new.join(tried, ["a", "b"], "left_anti"), "pairs")
         if new.isEmpty():
             break
-        more = staged(spark, measured(new, docs, text, key), "measured")
+        tried = tried.unionByName(new)
+        more = measure(new)
         known = known.unionByName(more)
         found = more.filter(_is_link())
         if found.isEmpty():
@@ -224,10 +264,9 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id")
     pairs = left.join(right, "cell").filter((F.col("g") != F.col("gb")) & (F.col("id") > F.col("b"))).filter(_near("n", "nb"))
     pairs = pairs.filter(F.coalesce(F.abs(F.col("d") - F.col("db")) <= RADIUS + 1e-9, F.lit(True)))
     pairs = pairs.select(F.col("id").alias("a"), "b").distinct()
-    pairs = pairs.join(known.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti")
-    pairs = staged(spark, pairs, "pairs")
+    pairs = staged(spark, pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
     if not pairs.isEmpty():
-        last = staged(spark, measured(pairs, docs, text, key).filter(_is_link()), "measured")
+        last = measure(pairs).filter(_is_link())
         if not last.isEmpty():
             group = components(spark, known.filter(_is_link()).select("a", "b").unionByName(last.select("a", "b")))
     joined = classes.join(group.select(F.col("id").alias("class_id"), "component"), "class_id", "left")
