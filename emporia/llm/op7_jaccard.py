@@ -217,12 +217,14 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id")
         some = staged(spark, possible(pairs, folds), "pairs")
         return staged(spark, measured(some, docs, text, key), "measured")
 
-    to_centre = posted.filter("id <> centre")
+    sizes = folds.select(F.col("id").alias("centre"), F.col("n").alias("centre_n"))
+    to_centre = posted.filter("id <> centre").select("id", "n", "centre").distinct().join(sizes, "centre")
+    to_centre = staged(spark, to_centre.filter(_near("n", "centre_n")).select("id", "centre"), "to-centre")
     first = to_centre.groupBy("id").agg(F.min("centre").alias("centre")).select(F.col("id").alias("a"), F.col("centre").alias("b"))
     known = measure(first)
     group = components(spark, known.filter(_is_link()).select("a", "b"))
     name = lambda c: group.select(F.col("id").alias(c), F.col("component").alias(f"g_{c}"))
-    apart = to_centre.select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    apart = to_centre.select(F.col("id").alias("a"), F.col("centre").alias("b")).join(first, ["a", "b"], "left_anti")
     apart = apart.join(name("a"), "a", "left").join(name("b"), "b", "left")
     apart = staged(spark, apart.filter(F.coalesce("g_a", "a") != F.coalesce("g_b", "b")).select("a", "b"), "apart")
     tried = staged(spark, first.unionByName(apart), "tried")
