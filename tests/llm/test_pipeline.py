@@ -5,6 +5,8 @@ import corpus_pipeline
 import duckdb
 import pytest
 
+from emporia.llm.common import staged
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -33,7 +35,7 @@ def test_stages_keep_what_they_should(spark, docs):
     kept = docs
     seen = []
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        kept = stage(spark, kept, SF)
+        kept = staged(spark, stage(spark, kept, SF), name)
         assert kept.columns == docs.columns, name
         seen.append(sorted(r.doc_id for r in kept.select("doc_id").collect()))
     assert seen == [[0, 1, 2, 3, 3, 7], [0, 1, 2, 3, 3, 7], [0, 3, 7], [0, 3, 7]]
