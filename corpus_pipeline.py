@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporia.llm.common import staged
-from emporia.llm.op2_quality import ledger, passes
+from emporia.llm.op2_quality import learn_starts, ledger, passes
 from emporia.llm.op4_packing import pack_documents
 from emporia.llm.op6_language import UNKNOWN, identified, train_model
 from emporia.llm.op7_jaccard import jaccard_components
@@ -21,8 +21,10 @@ MAIN_LANGUAGE = 0.5
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the second policy."""
-    return ledger(docs).filter(passes("v2")).select(*docs.columns)
+    """Documents that pass the third policy; its learnt rule is fitted on the labelled rows of ``documents``."""
+    known = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    model = learn_starts(known, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return ledger(docs, model=model).filter(passes("v3")).select(*docs.columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from emporia.llm.op1_suffix_tree import op1_suffix_tree_scores
 from emporia.llm.op10_licenses import op10_license_scan
-from emporia.llm.op2_quality import OP2_SQL, op2_quality_ledger
+from emporia.llm.op2_quality import OP2_SQL, op2_quality_ledger, op2_quality_ledger_learnt
 from emporia.llm.op3_permutation import op3_permutation_search
 from emporia.llm.op4_packing import op4_pattern_packing
 from emporia.llm.op5_bpe import op5_bpe_roundtrip
@@ -16,6 +16,7 @@ from emporia.llm.op9_html import op9_html_main_text
 QUERIES = {
     "op1_suffix_tree_scores": op1_suffix_tree_scores,
     "op2_quality_ledger": op2_quality_ledger,
+    "op2_quality_ledger_learnt": op2_quality_ledger_learnt,
     "op3_permutation_search": op3_permutation_search,
     "op4_pattern_packing": op4_pattern_packing,
     "op5_bpe_roundtrip": op5_bpe_roundtrip,

@@ -102,6 +102,26 @@ def test_op2_rejects_junk_and_keeps_prose(spark, words):
     assert kept == {0: True, **{i: False for i in range(1, 6)}}
 
 
+def test_op2_learns_toxic_starts_of_each_language(spark, words):
+    rng = np.random.default_rng(8)
+    marks = {"aa": "zoßlich", "bb": "ñuqué"}
+    rows, labels = [], []
+    for i in range(400):
+        lang, toxic = ("aa", "bb")[i % 2], int(i % 8 < 2)
+        text = list(rng.choice(words, 80)) + [marks[lang] + e for e in rng.choice(["", "en", "ra"], 3 if toxic else int(i % 16 > 13))]
+        rng.shuffle(text)
+        rows.append((i, " ".join(text).capitalize(), None if i in (0, 3) else lang))
+        labels.append((i, toxic))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    known = spark.createDataFrame([x for x in labels if x[0] >= 200] + [(None, 1), (7000, 1)], "doc_id bigint, toxic int")
+    model = op2.learn_starts(docs, known)
+    got = {r.doc_id: (bool(r.failed_bits & op2.BIT["toxic_starts"]), r.kept) for r in
+           op2.ledger(docs, model=model).select("doc_id", "failed_bits", op2.passes("v3").alias("kept")).collect()}
+    assert set(model) == {"aa", "bb"} and all(got[i] == (bool(t), not t) for i, t in labels)
+    assert op2.ledger(docs).filter(~op2.passes("v2")).count() == 0  # the fixed list finds none
+    assert op2.learn_starts(docs, known.filter("toxic = 0")) == {} == op2.learn_starts(docs, known.limit(0))
+
+
 def vectors(spark, n=900, size=24):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(n, size)) + 2 * rng.normal(size=(12, size))[rng.integers(0, 12, n)]
