@@ -36,9 +36,18 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
-    kept = jaccard_components(docs.select("doc_id", "text")).filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """One document of each group of near duplicates: the one with the smallest id, or without any id if none has one.
+
+    Rows are told apart by id and text together, so rows with a NULL id, and rows that share an id
+    but not a text, are held against the others as documents of their own. Rows that agree in both
+    are one document.
+    """
+    key = F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
+    groups = jaccard_components(docs.select(key.alias("doc_id"), "text")).select(F.col("doc_id").alias("__key"), "component_id").distinct()
+    members = docs.select(key.alias("__key"), "doc_id").distinct().join(groups, "__key")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__key"))
+    kept = members.groupBy("component_id").agg(first.alias("first")).select("first.__key")
+    return docs.withColumn("__key", key).join(kept, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,6 +45,16 @@ def test_stages_keep_what_they_should(spark, docs):
     assert sorted(r.doc_id for r in packed) == [0, 3, 7] and len({r.sequence_id for r in packed}) == 1
 
 
+def test_near_duplicates_with_null_and_repeated_ids(spark, words):
+    prose = lambda a: " ".join(words[a : a + 90])
+    rows = [(None, prose(0)), (None, prose(0) + " tail"), (5, prose(150)), (5, prose(300)), (5, prose(300)), (4, prose(300) + " tail"),
+            (None, prose(450)), (9, prose(450)), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()]
+    assert len(kept) == 5 and sum(t in (prose(0), prose(0) + " tail") and k is None for k, t in kept) == 1
+    assert {(5, prose(150)), (4, prose(300) + " tail"), (9, prose(450)), (None, None)} < set(kept)
+
+
 def test_stages_on_an_empty_table(spark, docs):
     none = docs.filter("doc_id < 0")
     for _, stage in corpus_pipeline.STAGES:
