@@ -249,7 +249,11 @@ def ledger(docs: DataFrame, text: str = "text", model: dict | None = None) -> Da
     for name, fails in RULES:
         bits = bits.bitwiseOR(F.when(F.expr(fails), F.lit(BIT[name])).otherwise(F.lit(0)).cast("long"))
     m = measured(docs, text, model)
-    return m.select(*[F.col(f"`{c}`") for c in m.columns if c != "failed_bits"], bits.alias("failed_bits"))
+    kept = [F.col(f"`{c}`") for c in m.columns if c not in (*MEASURES, "failed_bits")]
+    # the row's findings leave as the one item of a generator: a filter or column over them reads what was
+    # computed, where a plain projection would be copied into it and run again for each use
+    found = F.struct(*MEASURES, bits.alias("failed_bits"))
+    return m.select(*kept, F.explode(F.array(found)).alias("__found")).select(*kept, "__found.*")
 
 
 def passes(policy: str, bits: Column | str = "failed_bits") -> Column:

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 from emporia.llm.common import staged
+from emporia.llm.op2_quality import ledger, passes
 
 SF = "/root/testdata/sf0.001"
 
@@ -63,3 +64,11 @@ def test_stages_on_an_empty_table(spark, docs):
 
 def test_run_on_the_small_table(spark):
     assert corpus_pipeline.run(spark, SF).count() > 100
+
+
+def test_a_filter_on_the_ledger_reads_its_bits(spark):
+    """The optimizer must not copy the window work into the filter: then it would run per array element."""
+    rows = ledger(spark.read.parquet(f"{SF}/documents.parquet")).filter(passes("v3")).select("doc_id")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("xxhash64") <= 1 and plan.count("sort_array") <= 2
+    assert rows.count() > 100
