@@ -2,6 +2,9 @@
 
 import decimal
 import os
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -72,3 +75,16 @@ def test_no_cartesian_or_nested_loop_joins(spark, con):
         plan = built[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         bad += [(name, op) for op in ("CartesianProduct", "BroadcastNestedLoopJoin") if op in plan]
     assert bad == []
+
+
+def test_the_rest_works_without_the_training_data_folders(tmp_path):
+    """Without ``emporia/llm`` and ``tests/llm`` (corpus_pipeline.py left or not) the entry imports and lists its queries."""
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    for pipeline in (True, False):
+        copy = tmp_path / f"copy-{pipeline}"
+        gone = ["llm", ".git", "__pycache__", *([] if pipeline else ["corpus_pipeline.py"])]
+        shutil.copytree(root, copy, ignore=shutil.ignore_patterns(*gone))
+        code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), 'pipeline' in e.queries())"
+        out = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, check=True, env={**os.environ, "PYTHONPATH": ""})
+        n, n_sql, has_pipeline = out.stdout.split()
+        assert int(n) >= 69 and int(n_sql) >= 69 and has_pipeline == "False"
