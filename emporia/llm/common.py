@@ -128,11 +128,11 @@ def text_chunks(batch, column: str = "text", size: int = CHUNK_BYTES):
         row = last
 
 
-def word_spans(low: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the words; no word goes across a row start in ``at``."""
+def word_spans(low: np.ndarray, at: np.ndarray, breaks: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words; no word goes across a row start in ``at``. ``breaks``: which bytes part words."""
     edge = np.zeros(len(low) + 1, bool)
     edge[at] = True
-    solid = ~_IS_SPACE[low]
+    solid = ~breaks[low]
     first, last = solid.copy(), solid.copy()
     if len(low):
         first[1:] &= ~solid[:-1] | edge[1:-1]
@@ -148,9 +148,13 @@ def word_hashes(data: np.ndarray, at: np.ndarray, powers: Powers) -> tuple[np.nd
     """
     low = _LOWER[data]
     start, end = word_spans(low, at)
+    return span_hashes(low, start, end, powers), np.searchsorted(at, start, "right") - 1
+
+
+def span_hashes(low: np.ndarray, start: np.ndarray, end: np.ndarray, powers: Powers) -> np.ndarray:
+    """The hashes of ``word_hashes`` for given spans of lowered bytes."""
     powers.reach(len(low) + 1)
     total = np.zeros(len(low) + 1, np.uint64)
     np.cumsum(_BYTE_CODES[low] * powers.up[: len(low)], out=total[1:])
     codes = (total[end] - total[start]) * powers.down[start]
-    rows = np.searchsorted(at, start, "right") - 1
-    return mix64(codes + (end - start).astype(np.uint64) * np.uint64(_MULT)), rows
+    return mix64(codes + (end - start).astype(np.uint64) * np.uint64(_MULT))
