@@ -5,6 +5,7 @@ from __future__ import annotations
 from emporia.llm.op1_suffix_tree import op1_suffix_tree_scores
 from emporia.llm.op10_licenses import op10_license_scan
 from emporia.llm.op11_term_at_a_time import OP11_SQL, op11_term_at_a_time
+from emporia.llm.op12_alignment import op12_shared_cut_alignment
 from emporia.llm.op13_simhash import op13_simhash_components
 from emporia.llm.op2_quality import OP2_SQL, op2_quality_ledger, op2_quality_ledger_learnt
 from emporia.llm.op3_permutation import op3_permutation_search
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_html_main_text": op9_html_main_text,
     "op10_license_scan": op10_license_scan,
     "op11_term_at_a_time": op11_term_at_a_time,
+    "op12_shared_cut_alignment": op12_shared_cut_alignment,
     "op13_simhash_components": op13_simhash_components,
 }
 ORACLE = {"op2_quality_ledger": OP2_SQL, "op11_term_at_a_time": OP11_SQL}
