@@ -78,10 +78,11 @@ def _detail_lines(order_detail_inc: DataFrame, types: tuple[str, ...]) -> DataFr
 def _line_links(detail_activity_inc: DataFrame, detail_coupon_inc: DataFrame, types: tuple[str, ...]):
     act = detail_activity_inc.where(F.col("type").isin(*types)).select(
         F.col("data.order_detail_id").alias("__act_line"), F.col("data.activity_id").alias("activity_id"),
-        F.col("data.activity_rule_id").alias("activity_rule_id"),
+        F.col("data.activity_rule_id").alias("activity_rule_id"), F.col("dt").alias("__act_dt"),
     )
     cou = detail_coupon_inc.where(F.col("type").isin(*types)).select(
         F.col("data.order_detail_id").alias("__cou_line"), F.col("data.coupon_id").alias("coupon_id"),
+        F.col("dt").alias("__cou_dt"),
     )
     return act, cou
 
@@ -132,24 +133,39 @@ def _status_now(status: str) -> Column:
     return (F.col("type") == "bootstrap-insert") & (F.col("data.order_status") == status)
 
 
-def _lookback(first_day: bool, do_date: str, lookback_days: int):
+def _lookback(first_day: bool, do_date: str | None, lookback_days: int):
+    """The rows that a run on ``do_date`` may look up, by partition; every row for all event days."""
+    if do_date is None:
+        return lambda df: df
     lo = do_date if first_day else shift_date(do_date, -lookback_days)
     return lambda df: df.where((F.col("dt") >= F.lit(lo)) & (F.col("dt") <= F.lit(do_date)))
 
 
-def _event_dt(time_col: str, first_day: bool, do_date: str) -> Column:
-    """Daily: the run's day. First day: the day of the row's own event time."""
-    return (date_of_text(time_col) if first_day else F.lit(do_date)).alias("dt")
+def _event_days(lookback_days: int) -> list[Column]:
+    """An event's day, and the first day that it looks back to."""
+    first = F.date_format(F.date_sub(F.col("dt").cast("date"), lookback_days), "yyyy-MM-dd")
+    return [F.col("dt").alias("__day"), first.alias("__from")]
+
+
+def _in_reach(dt: str) -> Column:
+    """Rows of day ``dt`` that the event of the joined side may look up."""
+    return (F.col(dt) >= F.col("__from")) & (F.col(dt) <= F.col("__day"))
+
+
+def _event_dt(time_col: str, first_day: bool) -> Column:
+    """Daily: the event's day. First day: the day of the row's own event time."""
+    return (date_of_text(time_col) if first_day else F.col("__day")).alias("dt")
 
 
 def trade_cancel_detail(
     order_detail_inc: DataFrame, order_info_inc: DataFrame, detail_activity_inc: DataFrame,
-    detail_coupon_inc: DataFrame, dictionary: DataFrame, do_date: str, lookback_days: int = 1,
+    detail_coupon_inc: DataFrame, dictionary: DataFrame, do_date: str | None = None, lookback_days: int = 1,
     first_day: bool = False,
 ) -> DataFrame:
     """lines of orders whose status became cancelled; lines looked up ``lookback_days`` back.
 
-    First day: bootstrapped orders already cancelled, each to the day it was cancelled.
+    First day: bootstrapped orders already cancelled, each to the day it was cancelled. Without
+    ``do_date``: all event days, each looking back from its own.
     """
     window = _lookback(first_day, do_date, lookback_days)
     lines = _detail_lines(window(order_detail_inc), ("insert", "bootstrap-insert"))
@@ -157,31 +173,33 @@ def trade_cancel_detail(
     cancelled = _day(order_info_inc, do_date).where(became).select(
         F.col("data.id").alias("__oid"), F.col("data.user_id").alias("user_id"),
         F.col("data.province_id").alias("province_id"), F.col("data.operate_time").alias("cancel_time"),
+        *_event_days(0 if first_day else lookback_days),
     )
     act, cou = _line_links(window(detail_activity_inc), window(detail_coupon_inc), ("insert", "bootstrap-insert"))
     dic = _dic(dictionary, DIC_SOURCE, "__code", "source_type_name")
     j = (
-        lines.join(cancelled, lines.order_id == F.col("__oid"), "inner")
-        .join(act, lines.id == F.col("__act_line"), "left")
-        .join(cou, lines.id == F.col("__cou_line"), "left")
+        lines.join(cancelled, (lines.order_id == F.col("__oid")) & _in_reach("__line_dt"), "inner")
+        .join(act, (lines.id == F.col("__act_line")) & _in_reach("__act_dt"), "left")
+        .join(cou, (lines.id == F.col("__cou_line")) & _in_reach("__cou_dt"), "left")
         .join(dic, lines.source_type_code == F.col("__code"), "left")
     )
     return j.select(
         "id", "order_id", "user_id", "sku_id", "province_id", "activity_id", "activity_rule_id", "coupon_id",
         date_of_text("cancel_time").alias("date_id"), "cancel_time", "source_id", "source_type_code",
-        "source_type_name", *LINE_MEASURES, "split_total_amount", _event_dt("cancel_time", first_day, do_date),
+        "source_type_name", *LINE_MEASURES, "split_total_amount", _event_dt("cancel_time", first_day),
     )
 
 
 def trade_pay_detail(
     order_detail_inc: DataFrame, order_info_inc: DataFrame, payment_inc: DataFrame, detail_activity_inc: DataFrame,
-    detail_coupon_inc: DataFrame, dictionary: DataFrame, do_date: str, lookback_days: int = 1,
+    detail_coupon_inc: DataFrame, dictionary: DataFrame, do_date: str | None = None, lookback_days: int = 1,
     first_day: bool = False,
 ) -> DataFrame:
     """lines of orders whose payment succeeded today; payment and source names.
 
-    First day: bootstrapped successful payments, each to its callback day.
+    First day: bootstrapped successful payments, each to its callback day. Without ``do_date``: all event days.
     """
+    reach = 0 if first_day else lookback_days
     window = _lookback(first_day, do_date, lookback_days)
     lines = _detail_lines(window(order_detail_inc), ("insert", "bootstrap-insert"))
     ok = F.col("data.payment_status") == PAYMENT_OK
@@ -190,18 +208,22 @@ def trade_pay_detail(
     paid = _day(payment_inc, do_date).where(became).select(
         F.col("data.order_id").alias("__pid"), F.col("data.user_id").alias("user_id"),
         F.col("data.payment_type").alias("payment_type_code"), F.col("data.callback_time").alias("callback_time"),
+        *_event_days(reach),
     )
+    # an order's row serves the events of its day and of the days that look back to it: one row for each
+    days = F.transform(F.sequence(F.lit(0), F.lit(reach)), lambda k: F.date_format(F.date_add(F.col("dt").cast("date"), k), "yyyy-MM-dd"))
+    served = F.explode(days) if reach else F.col("dt")
     orders = window(order_info_inc).select(
-        F.col("data.id").alias("__oid"), F.col("data.province_id").alias("province_id")
-    ).dropDuplicates(["__oid"])
+        F.col("data.id").alias("__oid"), F.col("data.province_id").alias("province_id"), served.alias("__oday")
+    ).dropDuplicates(["__oid", "__oday"])
     act, cou = _line_links(window(detail_activity_inc), window(detail_coupon_inc), ("insert", "bootstrap-insert"))
     pay_dic = _dic(dictionary, DIC_PAYMENT, "__pcode", "payment_type_name")
     src_dic = _dic(dictionary, DIC_SOURCE, "__code", "source_type_name")
     j = (
-        lines.join(paid, lines.order_id == F.col("__pid"), "inner")
-        .join(orders, lines.order_id == F.col("__oid"), "left")
-        .join(act, lines.id == F.col("__act_line"), "left")
-        .join(cou, lines.id == F.col("__cou_line"), "left")
+        lines.join(paid, (lines.order_id == F.col("__pid")) & _in_reach("__line_dt"), "inner")
+        .join(orders, (lines.order_id == F.col("__oid")) & (F.col("__day") == F.col("__oday")), "left")
+        .join(act, (lines.id == F.col("__act_line")) & _in_reach("__act_dt"), "left")
+        .join(cou, (lines.id == F.col("__cou_line")) & _in_reach("__cou_dt"), "left")
         .join(pay_dic, F.col("payment_type_code") == F.col("__pcode"), "left")
         .join(src_dic, lines.source_type_code == F.col("__code"), "left")
     )
@@ -209,16 +231,16 @@ def trade_pay_detail(
         "id", "order_id", "user_id", "sku_id", "province_id", "activity_id", "activity_rule_id", "coupon_id",
         "payment_type_code", "payment_type_name", date_of_text("callback_time").alias("date_id"), "callback_time",
         "source_id", "source_type_code", "source_type_name", *LINE_MEASURES,
-        F.col("split_total_amount").alias("split_payment_amount"), _event_dt("callback_time", first_day, do_date),
+        F.col("split_total_amount").alias("split_payment_amount"), _event_dt("callback_time", first_day),
     )
 
 
 def trade_order_refund(
-    refund_inc: DataFrame, order_info_inc: DataFrame, dictionary: DataFrame, do_date: str, first_day: bool = False,
+    refund_inc: DataFrame, order_info_inc: DataFrame, dictionary: DataFrame, do_date: str | None = None, first_day: bool = False,
 ) -> DataFrame:
-    """refund requests ⟕ order (status → refund requested, for the province) ⟕ type ⟕ reason.
+    """refund requests ⟕ the order's change of that day (status → refund requested, for the province) ⟕ type ⟕ reason.
 
-    First day: every bootstrapped request ⟕ its bootstrapped order, each to its request day.
+    First day: every bootstrapped request ⟕ its bootstrapped order, each to its request day. Without ``do_date``: all event days.
     """
     ri = _day(refund_inc, do_date).where(
         F.col("type") == ("bootstrap-insert" if first_day else "insert")).select(
@@ -227,17 +249,17 @@ def trade_order_refund(
         F.col("data.create_time").alias("create_time"), F.col("data.refund_type").alias("refund_type_code"),
         F.col("data.refund_reason_type").alias("refund_reason_type_code"),
         F.col("data.refund_reason_txt").alias("refund_reason_txt"), F.col("data.refund_num").alias("refund_num"),
-        F.col("data.refund_amount").alias("refund_amount"),
+        F.col("data.refund_amount").alias("refund_amount"), F.col("dt").alias("__day"),
     )
     order_rows = (F.col("type") == "bootstrap-insert") if first_day else _status_changed_to(
         order_info_inc, ORDER_REFUND_REQUESTED)
     oi = _day(order_info_inc, do_date).where(order_rows).select(
-        F.col("data.id").alias("__oid"), F.col("data.province_id").alias("province_id")
+        F.col("data.id").alias("__oid"), F.col("data.province_id").alias("province_id"), F.col("dt").alias("__oday")
     )
     t = _dic(dictionary, DIC_REFUND_TYPE, "__t", "refund_type_name")
     r = _dic(dictionary, DIC_REFUND_REASON, "__r", "refund_reason_type_name")
     j = (
-        ri.join(oi, ri.order_id == F.col("__oid"), "left")
+        ri.join(oi, (ri.order_id == F.col("__oid")) & (F.col("__day") == F.col("__oday")), "left")
         .join(t, ri.refund_type_code == F.col("__t"), "left")
         .join(r, ri.refund_reason_type_code == F.col("__r"), "left")
     )
@@ -245,17 +267,18 @@ def trade_order_refund(
         "id", "user_id", "order_id", "sku_id", "province_id", date_of_text("create_time").alias("date_id"),
         "create_time", "refund_type_code", "refund_type_name", "refund_reason_type_code",
         "refund_reason_type_name", "refund_reason_txt", "refund_num", "refund_amount",
-        _event_dt("create_time", first_day, do_date),
+        _event_dt("create_time", first_day),
     )
 
 
 def trade_refund_pay(
     refund_payment_inc: DataFrame, order_info_inc: DataFrame, refund_inc: DataFrame, dictionary: DataFrame,
-    do_date: str, first_day: bool = False,
+    do_date: str | None = None, first_day: bool = False,
 ) -> DataFrame:
-    """successful refund payments ⟕ order (refunded) ⟕ refund request (requested) on two keys.
+    """successful refund payments ⟕ order (refunded that day) ⟕ refund request (requested, of that day) on two keys.
 
     First day: bootstrapped successful refund payments ⟕ bootstrapped orders and requests, each to its callback day.
+    Without ``do_date``: all event days.
     """
     paid_ok = F.col("data.refund_status") == REFUND_PAID
     rp_rows = ((F.col("type") == "bootstrap-insert") & paid_ok) if first_day else (
@@ -263,31 +286,31 @@ def trade_refund_pay(
     rp = _day(refund_payment_inc, do_date).where(rp_rows).select(
         F.col("data.id").alias("id"), F.col("data.order_id").alias("order_id"), F.col("data.sku_id").alias("sku_id"),
         F.col("data.payment_type").alias("payment_type_code"), F.col("data.callback_time").alias("callback_time"),
-        F.col("data.total_amount").alias("refund_amount"),
+        F.col("data.total_amount").alias("refund_amount"), F.col("dt").alias("__day"),
     )
     oi_rows = (F.col("type") == "bootstrap-insert") if first_day else _status_changed_to(order_info_inc, ORDER_REFUNDED)
     oi = _day(order_info_inc, do_date).where(oi_rows).select(
         F.col("data.id").alias("__oid"), F.col("data.user_id").alias("user_id"),
-        F.col("data.province_id").alias("province_id"),
+        F.col("data.province_id").alias("province_id"), F.col("dt").alias("__oday"),
     )
     ri_rows = (F.col("type") == "bootstrap-insert") if first_day else (
         (F.col("type") == "update") & change_has("old", "refund_status")
         & (F.col("data.refund_status") == REFUND_REQUESTED))
     ri = _day(refund_inc, do_date).where(ri_rows).select(
         F.col("data.order_id").alias("__r_order"), F.col("data.sku_id").alias("__r_sku"),
-        F.col("data.refund_num").alias("refund_num"),
+        F.col("data.refund_num").alias("refund_num"), F.col("dt").alias("__rday"),
     )
     pay = _dic(dictionary, DIC_PAYMENT, "__p", "payment_type_name")
     j = (
-        rp.join(oi, rp.order_id == F.col("__oid"), "left")
-        .join(ri, (rp.order_id == F.col("__r_order")) & (rp.sku_id == F.col("__r_sku")), "left")
+        rp.join(oi, (rp.order_id == F.col("__oid")) & (F.col("__day") == F.col("__oday")), "left")
+        .join(ri, (rp.order_id == F.col("__r_order")) & (rp.sku_id == F.col("__r_sku")) & (F.col("__day") == F.col("__rday")), "left")
         .join(pay, rp.payment_type_code == F.col("__p"), "left")
     )
     return j.select(
         "id", "user_id", "order_id", "sku_id", "province_id", "payment_type_code", "payment_type_name",
         date_of_text("callback_time").alias("date_id"), "callback_time",
         F.col("refund_num").cast(MONEY).alias("refund_num"), "refund_amount",
-        _event_dt("callback_time", first_day, do_date),
+        _event_dt("callback_time", first_day),
     )
 
 

@@ -366,8 +366,8 @@ def trade_user_payment_td(old_td: DataFrame, payment_1d: DataFrame, do_date: str
 
 
 def user_login_td_init(users_open: DataFrame, login: DataFrame, do_date: str) -> DataFrame:
-    """A22 first day: every current user; no login yet -> registration day, count 1."""
-    day_logins = login.where(F.col("dt") == F.lit(do_date)).groupBy("user_id").agg(
+    """A22 first day: every current user with the logins of all days so far; no login yet -> registration day, count 1."""
+    day_logins = login.where(F.col("dt") <= F.lit(do_date)).groupBy("user_id").agg(
         F.max("dt").alias("login_date_last"), F.count(F.lit(1)).alias("login_count_td")
     )
     u = users_open.select(F.col("id").alias("user_id"), F.substring("create_time", 1, 10).alias("create_date"))

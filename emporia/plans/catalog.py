@@ -8,11 +8,13 @@ lazy: each query is one DataFrame plan that Catalyst optimises as a whole
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emporia import schemas
 from emporia.functions.spans import shift_date
 from emporia.operators import ads, dim, dwd, dws
 from emporia.streaming import routing
@@ -53,6 +55,14 @@ class Warehouse:
     def ods(self) -> BenchOds:
         return BenchOds(self.b)
 
+    @_shared
+    def bootstrapped(self) -> dict[str, DataFrame]:
+        """The current rows of all change tables as changes of the report day."""
+        return self.ods.bootstrap((shift_date(self.d, -1), self.d), self.d)
+
+    def boot(self, table: str) -> DataFrame:
+        return self.bootstrapped()[table]
+
     def _w30(self, d: str) -> tuple[str, str]:
         return shift_date(d, -29), d
 
@@ -208,6 +218,20 @@ def _arrays_as_json(df: DataFrame, cols: list[str]) -> DataFrame:
     return df
 
 
+def _payload(table: str) -> Column:
+    """A change's payload as text: its fields that aren't NULL, in the table's order."""
+    names = [c.split(" ")[0] for c in schemas.CHANGE_DATA[table].split(", ")]
+    return F.concat_ws("|", *[F.col(f"data.{c}").cast("string") for c in names])
+
+
+def _all_changes(changes: dict[str, DataFrame]) -> DataFrame:
+    """Change records of several tables in one frame: table, dt, type, ts, row id, payload and changed columns as text."""
+    changed = F.concat_ws("|", F.array_sort(F.transform(F.map_entries("old"), lambda e: F.concat_ws("=", e["key"], e["value"]))))
+    parts = [c.select(F.lit(t).alias("table"), "dt", "type", "ts", F.col("data.id").alias("id"), _payload(t).alias("payload"),
+                      F.when(F.col("old").isNull(), "").otherwise(changed).alias("changed")) for t, c in changes.items()]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def _w(fn: Callable[[Warehouse], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: fn(Warehouse(spark, sf_dir))
 
@@ -290,30 +314,48 @@ def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["dim_user_zip"] = lambda w: dim.user_zip(
         dim.user_zip_init(w.ods.user_info_inc(shift_date(w.d, -1), w.d), shift_date(w.d, -1)).drop("dt"),
         w.ods.user_info_inc(shift_date(w.d, -1), w.d), w.d)
-    # ---- DWD from raw change records (all days, or the report day for the status-change facts)
+    # ---- DWD from raw change records (all event days)
     q["dwd_trade_cart_add_inc"] = lambda w: dwd.trade_cart_add(w.ods.cart_info_inc(), w.ods.dictionary())
     q["dwd_trade_order_detail_inc"] = lambda w: dwd.trade_order_detail(
         w.ods.order_detail_inc(), w.ods.order_info_inc(), w.ods.detail_activity_inc(), w.ods.detail_coupon_inc(),
         w.ods.dictionary())
     q["dwd_trade_cancel_detail_inc"] = lambda w: dwd.trade_cancel_detail(
-        w.ods.order_detail_inc(shift_date(w.d, -1), w.d), w.ods.order_info_inc(shift_date(w.d, -1), w.d),
-        w.ods.detail_activity_inc(shift_date(w.d, -1), w.d), w.ods.detail_coupon_inc(shift_date(w.d, -1), w.d),
-        w.ods.dictionary(), w.d)
+        w.ods.order_detail_inc(), w.ods.order_info_inc(), w.ods.detail_activity_inc(), w.ods.detail_coupon_inc(), w.ods.dictionary())
     q["dwd_trade_pay_detail_suc_inc"] = lambda w: dwd.trade_pay_detail(
-        w.ods.order_detail_inc(shift_date(w.d, -1), w.d), w.ods.order_info_inc(shift_date(w.d, -1), w.d),
-        w.ods.payment_info_inc(w.d, w.d), w.ods.detail_activity_inc(shift_date(w.d, -1), w.d),
-        w.ods.detail_coupon_inc(shift_date(w.d, -1), w.d), w.ods.dictionary(), w.d)
+        w.ods.order_detail_inc(), w.ods.order_info_inc(), w.ods.payment_info_inc(), w.ods.detail_activity_inc(),
+        w.ods.detail_coupon_inc(), w.ods.dictionary())
     q["dwd_trade_order_refund_inc"] = lambda w: dwd.trade_order_refund(
-        w.ods.order_refund_info_inc(w.d, w.d), w.ods.order_info_inc(w.d, w.d), w.ods.dictionary(), w.d)
+        w.ods.order_refund_info_inc(), w.ods.order_info_inc(), w.ods.dictionary())
     q["dwd_trade_refund_pay_suc_inc"] = lambda w: dwd.trade_refund_pay(
-        w.ods.refund_payment_inc(w.d, w.d), w.ods.order_info_inc(w.d, w.d), w.ods.order_refund_info_inc(w.d, w.d),
-        w.ods.dictionary(), w.d)
+        w.ods.refund_payment_inc(), w.ods.order_info_inc(), w.ods.order_refund_info_inc(), w.ods.dictionary())
     q["dwd_trade_cart_full"] = lambda w: dwd.trade_cart_full(w.ods.cart_info_full(w.d), w.d)
     q["dwd_tool_coupon_get_inc"] = lambda w: dwd.tool_coupon_get(w.ods.coupon_use_inc())
     q["dwd_tool_coupon_order_inc"] = lambda w: dwd.tool_coupon_order(w.ods.coupon_use_inc())
     q["dwd_tool_coupon_pay_inc"] = lambda w: dwd.tool_coupon_pay(w.ods.coupon_use_inc())
     q["dwd_interaction_favor_add_inc"] = lambda w: dwd.interaction_favor_add(w.ods.favor_info_inc())
     q["dwd_interaction_comment_inc"] = lambda w: dwd.interaction_comment(w.ods.comment_info_inc(), w.ods.dictionary())
+    # ---- the first day: all 13 tables bootstrapped from their current rows, and the facts made from them
+    q["snapshot_as_changes"] = lambda w: _all_changes(w.bootstrapped())
+    q["dwd_trade_cart_add_first_day"] = lambda w: dwd.trade_cart_add(w.boot("cart_info"), w.ods.dictionary(), w.d, first_day=True)
+    q["dwd_trade_order_detail_first_day"] = lambda w: dwd.trade_order_detail(
+        w.boot("order_detail"), w.boot("order_info"), w.boot("order_detail_activity"), w.boot("order_detail_coupon"),
+        w.ods.dictionary(), w.d, first_day=True)
+    q["dwd_trade_cancel_detail_first_day"] = lambda w: dwd.trade_cancel_detail(
+        w.boot("order_detail"), w.boot("order_info"), w.boot("order_detail_activity"), w.boot("order_detail_coupon"),
+        w.ods.dictionary(), w.d, first_day=True)
+    q["dwd_trade_pay_detail_suc_first_day"] = lambda w: dwd.trade_pay_detail(
+        w.boot("order_detail"), w.boot("order_info"), w.boot("payment_info"), w.boot("order_detail_activity"),
+        w.boot("order_detail_coupon"), w.ods.dictionary(), w.d, first_day=True)
+    q["dwd_trade_order_refund_first_day"] = lambda w: dwd.trade_order_refund(
+        w.boot("order_refund_info"), w.boot("order_info"), w.ods.dictionary(), w.d, first_day=True)
+    q["dwd_trade_refund_pay_suc_first_day"] = lambda w: dwd.trade_refund_pay(
+        w.boot("refund_payment"), w.boot("order_info"), w.boot("order_refund_info"), w.ods.dictionary(), w.d, first_day=True)
+    q["dwd_tool_coupon_get_first_day"] = lambda w: dwd.tool_coupon_get(w.boot("coupon_use"), w.d, first_day=True)
+    q["dwd_tool_coupon_order_first_day"] = lambda w: dwd.tool_coupon_order(w.boot("coupon_use"), w.d, first_day=True)
+    q["dwd_tool_coupon_pay_first_day"] = lambda w: dwd.tool_coupon_pay(w.boot("coupon_use"), w.d, first_day=True)
+    q["dwd_interaction_favor_add_first_day"] = lambda w: dwd.interaction_favor_add(w.boot("favor_info"), w.d, first_day=True)
+    q["dwd_interaction_comment_first_day"] = lambda w: dwd.interaction_comment(
+        w.boot("comment_info"), w.ods.dictionary(), w.d, first_day=True)
     # ---- collectors (S6–S8): the streaming transforms applied to the same rows in batch
     q["normalize_types"] = lambda w: files.normalize_types(w.b.raw("orders"))
     q["stream_partition_log_by_event_day"] = lambda w: log_routing(w)

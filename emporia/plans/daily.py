@@ -14,6 +14,7 @@ result. This module only orders the steps; Spark does the work.
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,6 +82,11 @@ class Chain:
     def log(self, d: str) -> DataFrame:
         return files.read_log(self.spark, self.ods_root, [d])
 
+    def logs_to(self, d: str) -> DataFrame:
+        """The app log of all days up to ``d`` (which must be there); the other days' folders are pruned."""
+        self.log(d)
+        return files.read_log(self.spark, self.ods_root).where(F.col("dt") <= F.lit(d))
+
     def put(self, df: DataFrame, table: str, d: str | None = None) -> None:
         if d is None:
             tables.overwrite_dynamic(df, self.path(table))
@@ -100,6 +106,20 @@ class Chain:
             self.spark, f"{landing_root}/ods_log_inc/{d}", f"{self.ods_root}/ods_log_inc", d)
         return loaded
 
+    def bootstrap(self, d: str, current_root: str) -> None:
+        """The 13 change tables' current rows (``<current_root>/<table>``) as the raw changes of the first day.
+
+        A day's raw changes are replaced, so a bootstrap may be run again. A missing table raises, unless it is ``quiet``.
+        """
+        from emporia import schemas
+
+        at = int(_dt.datetime.fromisoformat(f"{d}T00:00:00+08:00").timestamp())
+        for table in schemas.CHANGE_DATA:
+            if table in self.quiet and not files.path_exists(self.spark, f"{current_root.rstrip('/')}/{table}"):
+                continue
+            rows = files.read_current(self.spark, current_root, table)
+            tables.write_changes(files.snapshot_as_changes(rows, at, d), f"{self.ods_root}/ods_{table}_inc", d)
+
     # ------------------------------------------------------------------ DIM
     def load_date_dim(self, date_info_path: str) -> None:
         """The calendar from its prepared file, replacing the whole (unpartitioned) table."""
@@ -134,9 +154,10 @@ class Chain:
         prev = shift_date(d, -1)
         dic = self.snap("base_dic", d)
         prov = self.snap("base_province", d)
-        log = self.log(d)
+        log = self.logs_to(d) if first_day else self.log(d)
         fd = dict(first_day=first_day)
         target = None if first_day else d
+        logged = None if first_day else d  # first day: all days of the log, each to its own partition
         self.put(dwd.trade_order_detail(self.inc("order_detail", [d]), self.inc("order_info", [d]),
                                         self.inc("order_detail_activity", [d]), self.inc("order_detail_coupon", [d]),
                                         dic, d, **fd), "dwd_trade_order_detail_inc", target)
@@ -162,13 +183,13 @@ class Chain:
         self.put(dwd.tool_coupon_pay(coupon_use, d, **fd), "dwd_tool_coupon_pay_inc", target)
         self.put(dwd.interaction_favor_add(self.inc("favor_info", [d]), d, **fd), "dwd_interaction_favor_add_inc", target)
         self.put(dwd.interaction_comment(self.inc("comment_info", [d]), dic, d, **fd), "dwd_interaction_comment_inc", target)
-        self.put(dwd.traffic_page_view(log, prov, d), "dwd_traffic_page_view_inc", d)
-        self.put(dwd.traffic_start(log, prov, d), "dwd_traffic_start_inc", d)
-        self.put(dwd.traffic_action(log, prov, d), "dwd_traffic_action_inc", d)
-        self.put(dwd.traffic_display(log, prov, d), "dwd_traffic_display_inc", d)
-        self.put(dwd.traffic_error(log, prov, d), "dwd_traffic_error_inc", d)
-        self.put(dwd.user_login(log, prov, d), "dwd_user_login_inc", d)
-        self.put(dwd.user_register(self.inc("user_info", [d]), log, prov, d, **fd), "dwd_user_register_inc", target)
+        self.put(dwd.traffic_page_view(log, prov, logged), "dwd_traffic_page_view_inc", target)
+        self.put(dwd.traffic_start(log, prov, logged), "dwd_traffic_start_inc", target)
+        self.put(dwd.traffic_action(log, prov, logged), "dwd_traffic_action_inc", target)
+        self.put(dwd.traffic_display(log, prov, logged), "dwd_traffic_display_inc", target)
+        self.put(dwd.traffic_error(log, prov, logged), "dwd_traffic_error_inc", target)
+        self.put(dwd.user_login(log, prov, logged), "dwd_user_login_inc", target)
+        self.put(dwd.user_register(self.inc("user_info", [d]), log, prov, logged, **fd), "dwd_user_register_inc", target)
 
     # ------------------------------------------------------------------ DWS
     def load_dws_1d(self, d: str, first_day: bool) -> None:
@@ -185,9 +206,9 @@ class Chain:
         self.put(dws.trade_user_sku_order_refund_1d(refund, sku), "dws_trade_user_sku_order_refund_1d", target)
         self.put(dws.trade_user_order_refund_1d(refund), "dws_trade_user_order_refund_1d", target)
         self.put(dws.trade_user_payment_1d(self.read("dwd_trade_pay_detail_suc_inc", days)), "dws_trade_user_payment_1d", target)
-        pv = self.read("dwd_traffic_page_view_inc", [d])
-        self.put(dws.traffic_session_page_view_1d(pv), "dws_traffic_session_page_view_1d", d)
-        self.put(dws.traffic_page_visitor_page_view_1d(pv), "dws_traffic_page_visitor_page_view_1d", d)
+        pv = self.read("dwd_traffic_page_view_inc", days)
+        self.put(dws.traffic_session_page_view_1d(pv), "dws_traffic_session_page_view_1d", target)
+        self.put(dws.traffic_page_visitor_page_view_1d(pv), "dws_traffic_page_visitor_page_view_1d", target)
 
     def load_dws_nd(self, d: str) -> None:
         pairs = [
@@ -215,7 +236,7 @@ class Chain:
             self.put(dws.trade_user_order_td_init(self.read("dws_trade_user_order_1d"), d), "dws_trade_user_order_td", d)
             self.put(dws.trade_user_payment_td_init(self.read("dws_trade_user_payment_1d"), d), "dws_trade_user_payment_td", d)
             users = self.read("dim_user_zip", [OPEN]).drop("dt")
-            self.put(dws.user_login_td_init(users, self.read("dwd_user_login_inc", [d]), d), "dws_user_user_login_td", d)
+            self.put(dws.user_login_td_init(users, self.read("dwd_user_login_inc"), d), "dws_user_user_login_td", d)
             return
         self.put(dws.trade_user_order_td(self.state("dws_trade_user_order_td", prev),
                                          self.read("dws_trade_user_order_1d", [d]), d), "dws_trade_user_order_td", d)
@@ -268,8 +289,13 @@ class Chain:
                                          REPORT_KEYS[name])
 
     # --------------------------------------------------------------- chains
-    def run_first_day(self, d: str) -> None:
-        """Bootstrap — DIM, zipper init, DWD history fanned out by day, 1-day history, to-date init."""
+    def run_first_day(self, d: str, current_root: str | None = None) -> None:
+        """Bootstrap — DIM, zipper init, DWD history fanned out by day, 1-day history, to-date init.
+
+        ``current_root``: the change tables' exported current rows, from which the day's raw changes are made first.
+        """
+        if current_root:
+            self.bootstrap(d, current_root)
         self.load_dims(d)
         self.load_user_zip(d, first_day=True)
         self.load_dwd(d, first_day=True)
@@ -303,11 +329,15 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--landing", default=None, help="landed files root (loaded into --ods first)")
     p.add_argument("--date", required=True, help="business date yyyy-MM-dd")
     p.add_argument("--first-day", action="store_true", help="bootstrap run")
+    p.add_argument("--current", default=None, help="exported current rows of the change tables (first day: bootstrapped from them)")
     a = p.parse_args(argv)
     chain = Chain(get_session(), a.ods, a.warehouse, a.publish)
     if a.landing:
         chain.load_ods(a.date, a.landing)
-    (chain.run_first_day if a.first_day else chain.run_day)(a.date)
+    if a.first_day:
+        chain.run_first_day(a.date, a.current)
+    else:
+        chain.run_day(a.date)
 
 
 if __name__ == "__main__":

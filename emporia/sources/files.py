@@ -104,11 +104,36 @@ def normalize_types(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+BOOTSTRAP = "bootstrap-insert"
+#: Types that carry a row's state (a deletion doesn't).
+STATE_TYPES = ("insert", "update", BOOTSTRAP)
+
+
+def read_current(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A change table's current rows as the source exports them (tab-delimited, empty = NULL), for the bootstrap."""
+    schema = schemas.struct_of(schemas.CHANGE_DATA[table])
+    path = f"{root.rstrip('/')}/{table}"
+    if not path_exists(spark, path):
+        raise FileNotFoundError(f"current rows not exported: {path}")
+    return spark.read.schema(schema).option("sep", "\t").option("nullValue", "").csv(path)
+
+
+def current_rows(changes: DataFrame) -> DataFrame:
+    """The table as it stands after its changes: the payload of each id's latest change.
+
+    Changes of one second are ordered by their content, so the answer doesn't depend on how they lie in
+    files. The latest is an aggregate, combined before the shuffle: an id may have any number of changes.
+    """
+    kept = changes.where(F.col("type").isin(*STATE_TYPES))
+    latest = kept.groupBy(F.col("data.id").alias("__id")).agg(F.max(F.struct("ts", "data")).alias("__m"))
+    return latest.select("__m.data.*")
+
+
 def snapshot_as_changes(df: DataFrame, ts_seconds: int, dt: str) -> DataFrame:
     """First-day bootstrap — each current row becomes a ``bootstrap-insert`` change."""
     data_cols = [c for c in df.columns if c != "dt"]
     return df.select(
-        F.lit("bootstrap-insert").alias("type"),
+        F.lit(BOOTSTRAP).alias("type"),
         F.lit(ts_seconds).cast("bigint").alias("ts"),
         F.struct(*[F.col(f"`{c}`") for c in data_cols]).alias("data"),
         F.lit(None).cast("map<string,string>").alias("old"),

@@ -1,6 +1,7 @@
 """S18/S19 end to end on a two-day raw folder: first day, daily run, rerun changes nothing."""
 
 import os
+import shutil
 from decimal import Decimal
 
 import pytest
@@ -10,8 +11,9 @@ from emporia import schemas
 from emporia.functions.spans import shift_date
 from emporia.plans.daily import Chain
 from emporia.sinks import tables
+from emporia.sources import files
 
-from tests.ods_fixture import D0, D1, write
+from tests.ods_fixture import D0, D1, secs, write
 
 
 QUIET = frozenset(schemas.CHANGE_DATA)  # the fixture has no folder for tables without changes
@@ -105,3 +107,54 @@ def test_files_follow_the_size_of_days(spark, tmpdir_path):
     tables.overwrite_dynamic(days, f"{tmpdir_path}/d")
     files = [f for _, _, names in os.walk(f"{tmpdir_path}/d") for f in names if f.endswith(".parquet")]
     assert len(files) == 28  # one a day, not one a task and day
+
+
+def _export_current(spark, ods, root):
+    """The change tables' rows as they stand on the first day, as tab-delimited exports."""
+    for table in schemas.CHANGE_DATA:
+        path = f"{ods}/ods_{table}_inc/dt={D0}"
+        if os.path.isdir(path):
+            rows = files.current_rows(files.read_changes(spark, ods, table, [D0]))
+            rows.write.option("sep", "\t").option("nullValue", "").option("emptyValue", "").csv(f"{root}/{table}")
+
+
+def test_first_day_starts_from_exported_rows(spark, tmpdir_path):
+    """Bootstrapped from exports, the first day gives what it gives from the raw changes; log history is fanned out."""
+    ods, wh, cur = f"{tmpdir_path}/ods", f"{tmpdir_path}/wh", f"{tmpdir_path}/current"
+    write(ods)
+    early = shift_date(D0, -3)
+    line = '{"common": {"mid": "m9", "uid": "u1"}, "page": {"page_id": "home", "during_time": "7"}, "ts": %d}' % (secs(f"{early} 10:00:00") * 1000)
+    os.makedirs(f"{ods}/ods_log_inc/dt={early}")
+    with open(f"{ods}/ods_log_inc/dt={early}/part-0.json", "w") as f:
+        f.write(line + "\n")
+    _export_current(spark, ods, cur)
+    want = Chain(spark, ods, wh, quiet=QUIET)
+    want.run_first_day(D0)
+    views = want.read("dwd_traffic_page_view_inc").collect()
+    assert {r["dt"] for r in views} >= {early, D0} and {r["dt"] for r in want.read("dws_traffic_session_page_view_1d").collect()} >= {early, D0}
+    logins = {r["user_id"]: r for r in want.read("dws_user_user_login_td", [D0]).collect()}
+    assert logins["u1"]["login_count_td"] == 1 + sum(r["user_id"] == "u1" for r in want.read("dwd_user_login_inc", [D0]).collect())
+    before = _layers(want)
+
+    other = f"{tmpdir_path}/ods2"
+    for name in os.listdir(ods):  # the same raw folder without any change table
+        if not any(name == f"ods_{t}_inc" for t in schemas.CHANGE_DATA):
+            shutil.copytree(f"{ods}/{name}", f"{other}/{name}")
+    with pytest.raises(FileNotFoundError):
+        Chain(spark, other, f"{tmpdir_path}/wh2").run_first_day(D0, cur)  # the fixture exports only some tables
+    chain = Chain(spark, other, f"{tmpdir_path}/wh2", quiet=QUIET)
+    for _ in range(2):  # a bootstrap may be run again
+        chain.run_first_day(D0, cur)
+        assert _layers(chain) == before
+    kinds = files.read_changes(spark, other, "order_info", [D0]).select("type", F.col("old").isNull()).distinct().collect()
+    assert [tuple(r) for r in kinds] == [("bootstrap-insert", True)]
+
+
+def test_current_rows_are_the_latest_states(spark):
+    schema = schemas.struct_of(schemas.change_schema("order_status_log"))
+    row = lambda kind, ts, i, status: (kind, ts, (i, "o", status, None), None)
+    changes = spark.createDataFrame([row("insert", 1, "a", "1"), row("update", 3, "a", "3"), row("update", 2, "a", "2"), row("delete", 9, "a", "9"),
+                                     row("insert", 1, "b", "1"), row("update", 1, "b", "2"), row("bootstrap-insert", 0, None, "0")], schema)
+    got = {(r["id"], r["order_status"]) for r in files.current_rows(changes).collect()}
+    assert got == {("a", "3"), ("b", "2"), (None, "0")}
+    assert files.current_rows(changes.limit(0)).count() == 0
