@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from emporia import schemas
 from emporia.functions.spans import shift_date
 from emporia.operators import ads, dim, dwd, dws
+from emporia.session import scratch_folder
 from emporia.streaming import routing
 from emporia.sources import files
 from emporia.sources.bench import (
@@ -356,7 +357,7 @@ def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["dwd_interaction_favor_add_first_day"] = lambda w: dwd.interaction_favor_add(w.boot("favor_info"), w.d, first_day=True)
     q["dwd_interaction_comment_first_day"] = lambda w: dwd.interaction_comment(
         w.boot("comment_info"), w.ods.dictionary(), w.d, first_day=True)
-    # ---- collectors (S6–S8): the streaming transforms applied to the same rows in batch
+    # ---- collectors (S6–S8): streams over landed lines, their output read back
     q["normalize_types"] = lambda w: files.normalize_types(w.b.raw("orders"))
     q["stream_partition_log_by_event_day"] = lambda w: log_routing(w)
     q["stream_route_cdc"] = lambda w: change_routing(w)
@@ -364,24 +365,36 @@ def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def log_routing(w: Warehouse) -> DataFrame:
-    """S6 + S7 on the app log rendered as JSON lines, some truncated: the lines kept, with their event day."""
+    """S6 + S7: the app log lands as JSON lines, some truncated; a stream drops those and routes the rest by event day.
+
+    The stream runs over all that landed, and again (from its checkpoint, to find nothing new); the rows are
+    read back from what it wrote.
+    """
     log = w.b.ods_log()
     line = F.to_json(F.struct("common", "page", "actions", "displays", "start", "err", "ts"))
     broken = (F.col("ts") % CORRUPT_EVERY) == CORRUPT_AT
     lines = log.select(F.when(broken, F.substring(line, 1, 25)).otherwise(line).alias("value"))
-    routed = routing.route_log(lines)
+    spark, root = w.b.spark, scratch_folder(w.b.spark, "log-stream")
+    lines.write.option("compression", "gzip").text(f"{root}/landed")
+    for _ in range(2):
+        routing.collect_log(spark, f"{root}/landed", f"{root}/routed", f"{root}/checkpoint").awaitTermination()
+    routed = spark.read.schema("value string, dt string").text(f"{root}/routed")
     kept = F.from_json("value", "common STRUCT<mid: STRING>, ts BIGINT")
     return routed.select("dt", kept.alias("k")).select("dt", "k.ts", "k.common.mid")
 
 
 def change_routing(w: Warehouse) -> DataFrame:
-    """S8 on change records rendered as JSON lines: records per target table and day."""
-    def as_lines(df: DataFrame, table: str) -> DataFrame:
-        return df.select(F.to_json(F.struct(F.lit(table).alias("table"), "type", "ts", "data", "old")).alias("value"))
+    """The changes of all 13 tables land as JSON lines; one stream routes them, and they are read back table by table.
 
-    lines = as_lines(w.ods.order_info_inc(), "order_info").unionByName(as_lines(w.ods.payment_info_inc(), "payment_info"))
-    routed = routing.route_changes(lines)
-    return routed.groupBy("table", "dt").agg(F.count(F.lit(1)).alias("records"))
+    It runs twice, as above. The history spans years, so the folders are by table and batch; the day is each record's own.
+    """
+    spark, root = w.b.spark, scratch_folder(w.b.spark, "change-stream")
+    changes = w.ods.changes((shift_date(w.d, -1), w.d))
+    lines = [c.select(F.to_json(F.struct(F.lit(t).alias("table"), "type", "ts", "data", "old")).alias("value")) for t, c in changes.items()]
+    functools.reduce(DataFrame.unionByName, lines).write.option("compression", "gzip").text(f"{root}/landed")
+    for _ in range(2):
+        routing.collect_all_changes(spark, f"{root}/landed", f"{root}/routed", f"{root}/checkpoint", by_day=False).awaitTermination()
+    return _all_changes({t: routing.read_routed(spark, f"{root}/routed", t) for t in changes})
 
 
 FLAGSHIP = "ads_trade_stats_by_tm"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -80,6 +81,11 @@ def apply_warehouse_conf(spark: SparkSession) -> None:
             pass
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the checkpoint folder, which driver and executors share; nothing is created."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/emporia-{name}-{uuid.uuid4().hex}"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder; create a scratch one only when unset.
 
