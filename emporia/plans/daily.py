@@ -9,12 +9,15 @@ there (one partition per ``dt``, dynamic overwrite). Materialising every layer
 is what the reference does, and it is what keeps a 100 TB run restartable:
 each step's lineage starts at stored files, a lost executor only recomputes
 tasks of the current step, and a failed step reruns alone with the same
-result. This module only orders the steps; Spark does the work.
+result. A ledger of steps (``plans.steps``) lets a failed chain resume where it broke and keeps
+half-written tables from being read. This module only orders the steps; Spark does the work.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import functools
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +25,8 @@ from pyspark.sql import functions as F
 
 from emporia.functions.spans import shift_date
 from emporia.operators import ads, dim, dwd, dws
+from emporia.plans.steps import DONE, StepLedger, fingerprint, raw_fingerprint
+from emporia.session import scratch_folder
 from emporia.sinks import tables
 from emporia.sources import files
 
@@ -54,13 +59,31 @@ class Chain:
     wh_root: str  # warehouse tables: <wh_root>/<table>/dt=<day>/
     publish_root: str | None = None  # published reports (keyed upsert)
     quiet: frozenset[str] = frozenset()  # change tables whose day folder may be missing (a day without changes)
+    resume: bool = True  # pass over steps whose inputs are as they were when the step ended
+    steps_root: str | None = None  # the step ledger; beside the warehouse folder by default
+
+    def __post_init__(self):
+        self.steps = StepLedger(self.spark, self.steps_root or f"{self.wh_root.rstrip('/')}-steps")
+        self.day = ""  # the run's day
+        self.ran: list[tuple[str, str]] = []  # steps that wrote, in order
+        self._read: dict | None = None  # what the step being planned reads
 
     # ------------------------------------------------------------------ io
     def path(self, table: str) -> str:
         return tables.table_path(self.wh_root, table)
 
+    def _note(self, name: str, what) -> None:
+        if self._read is not None:
+            self._read[name] = what
+
     def read(self, table: str, days: list[str] | None = None) -> DataFrame:
-        """A warehouse table; its declared columns type it, also where it is empty."""
+        """A warehouse table; its declared columns type it, also where it is empty. A half-written one raises."""
+        if days is None:
+            self._note(table, self.steps.whole(table))
+        elif OPEN in days:  # the open versions are the work of all days' steps
+            self._note(f"{table} {days}", self.steps.whole(table))
+        else:
+            self._note(f"{table} {days}", {d: self.steps.whole(table, d, d) for d in days})
         return tables.read_table(self.spark, self.path(table), days)
 
     def state(self, table: str, day: str) -> DataFrame:
@@ -71,27 +94,61 @@ class Chain:
 
     def window(self, table: str, do_date: str, days: int = 30) -> DataFrame:
         lo = shift_date(do_date, -(days - 1))
-        return self.read(table).where((F.col("dt") >= F.lit(lo)) & (F.col("dt") <= F.lit(do_date)))
+        self._note(f"{table} {lo}-{do_date}", self.steps.whole(table, lo, do_date))
+        rows = tables.read_table(self.spark, self.path(table))
+        return rows.where((F.col("dt") >= F.lit(lo)) & (F.col("dt") <= F.lit(do_date)))
+
+    def _raw(self, name: str, days: list[str]) -> None:
+        for d in days:
+            self._note(f"raw {name} {d}", raw_fingerprint(self.spark, f"{self.ods_root.rstrip('/')}/{name}/dt={d}"))
 
     def snap(self, table: str, d: str) -> DataFrame:
+        self._raw(f"ods_{table}_full", [d])
         return files.read_snapshot(self.spark, self.ods_root, table, [d])
 
     def inc(self, table: str, days: list[str]) -> DataFrame:
+        self._raw(f"ods_{table}_inc", days)
         return files.read_changes(self.spark, self.ods_root, table, days, may_be_absent=table in self.quiet)
 
     def log(self, d: str) -> DataFrame:
+        self._raw("ods_log_inc", [d])
         return files.read_log(self.spark, self.ods_root, [d])
 
     def logs_to(self, d: str) -> DataFrame:
         """The app log of all days up to ``d`` (which must be there); the other days' folders are pruned."""
         self.log(d)
+        days = [r.dt for r in tables.list_partitions(self.spark, f"{self.ods_root.rstrip('/')}/ods_log_inc").collect()]
+        self._raw("ods_log_inc", [x for x in days if x <= d])
         return files.read_log(self.spark, self.ods_root).where(F.col("dt") <= F.lit(d))
 
-    def put(self, df: DataFrame, table: str, d: str | None = None) -> None:
-        if d is None:
-            tables.overwrite_dynamic(df, self.path(table))
-        else:
-            tables.overwrite_partition(df, self.path(table), d)
+    def _step(self, name: str, inputs: str, write: Callable[[], object]) -> None:
+        """Writes, unless the step is done from the same inputs."""
+        if self.resume and self.steps.is_done(name, self.day, inputs):
+            return
+        self.steps.begin(name, self.day, inputs)
+        write()
+        self.steps.finish(name, self.day, inputs)
+        self.ran.append((name, self.day))
+
+    def _planned(self, make: Callable) -> tuple:
+        """What ``make()`` gives, and the fingerprint of all that it reads."""
+        self._read = {}
+        try:
+            return make(), fingerprint(self._read)
+        finally:
+            self._read = None
+
+    def put(self, make: Callable[[], DataFrame], table: str, d: str | None = None) -> None:
+        """One step: a table's day ``d``, or (first day) all days that the rows have."""
+        df, inputs = self._planned(make)
+        if d is not None:
+            self._step(table, inputs, lambda: tables.overwrite_partition(df, self.path(table), d))
+            return
+        day, self.day = self.day, f"{self.day}-history"
+        try:
+            self._step(table, inputs, lambda: tables.overwrite_dynamic(df, self.path(table)))
+        finally:
+            self.day = day
 
     # ------------------------------------------------------------------ ODS
     def load_ods(self, d: str, landing_root: str) -> dict[str, bool]:
@@ -126,89 +183,113 @@ class Chain:
         tables.overwrite_table(files.read_date_info(self.spark, date_info_path), self.path("dim_date"))
 
     def load_dims(self, d: str) -> None:
+        self.day = d
         s = lambda t: self.snap(t, d)
-        self.put(dim.sku_full(s("sku_info"), s("spu_info"), s("base_category3"), s("base_category2"),
+        self.put(lambda: dim.sku_full(s("sku_info"), s("spu_info"), s("base_category3"), s("base_category2"),
                               s("base_category1"), s("base_trademark"), s("sku_attr_value"),
                               s("sku_sale_attr_value")), "dim_sku_full", d)
-        self.put(dim.coupon_full(s("coupon_info"), s("base_dic")), "dim_coupon_full", d)
-        self.put(dim.activity_full(s("activity_rule"), s("activity_info"), s("base_dic")), "dim_activity_full", d)
-        self.put(dim.province_full(s("base_province"), s("base_region")), "dim_province_full", d)
+        self.put(lambda: dim.coupon_full(s("coupon_info"), s("base_dic")), "dim_coupon_full", d)
+        self.put(lambda: dim.activity_full(s("activity_rule"), s("activity_info"), s("base_dic")), "dim_activity_full", d)
+        self.put(lambda: dim.province_full(s("base_province"), s("base_region")), "dim_province_full", d)
 
     def load_user_zip(self, d: str, first_day: bool) -> None:
-        users = self.inc("user_info", [d])
+        """D6 / D7. A day's merge replaces two partitions that it read, so it is written beside first.
+
+        That copy is named in the ledger while the two are replaced: a run that finds the step
+        unfinished replaces them from the copy, and reads neither.
+        """
+        self.day = d
         if first_day:
-            self.put(dim.user_zip_init(users, d).drop("dt"), "dim_user_zip", OPEN)
+            self.put(lambda: dim.user_zip_init(self.inc("user_info", [d]), d).drop("dt"), "dim_user_zip", OPEN)
             return
         prev = shift_date(d, -1)
-        zipper = self.read("dim_user_zip", [OPEN, prev])
+        found = self.steps.entry("dim_user_zip", d)
+        if found and found["state"] != DONE and found.get("copy") and files.path_exists(self.spark, f"{found['copy']}/_SUCCESS"):
+            self._replace_zipper(found["copy"], d, prev)
+            self.steps.finish("dim_user_zip", d, found["inputs"])
+            self.ran.append(("dim_user_zip", d))
+        users, raw = self._planned(lambda: self.inc("user_info", [d]))
+        inputs = fingerprint({"raw": raw, "before": self.steps.whole("dim_user_zip", None, prev)})
+        if self.resume and self.steps.is_done("dim_user_zip", d, inputs):
+            return
         newest = self.state("dim_user_zip", OPEN).agg(F.max("start_date")).first()[0]
         if newest and newest > d:
             raise ValueError(f"dim_user_zip already holds {newest}; {d} can't be merged after it")
-        # the merge reads the partitions it replaces: stage it first
-        out = tables.staged(dim.user_zip(dim.zipper_before(zipper, d), users, d))
-        self.put(out.where(F.col("dt") == F.lit(prev)).drop("dt"), "dim_user_zip", prev)
-        self.put(out.where(F.col("dt") == F.lit(OPEN)).drop("dt"), "dim_user_zip", OPEN)
+        zipper = self.read("dim_user_zip", [OPEN, prev])
+        copy = scratch_folder(self.spark, "zipper")
+        dim.user_zip(dim.zipper_before(zipper, d), users, d).write.parquet(copy)
+        self.steps.begin("dim_user_zip", d, inputs, copy=copy)
+        self._replace_zipper(copy, d, prev)
+        self.steps.finish("dim_user_zip", d, inputs)
+        self.ran.append(("dim_user_zip", d))
+
+    def _replace_zipper(self, copy: str, d: str, prev: str) -> None:
+        out = self.spark.read.parquet(copy)
+        for day in (prev, OPEN):
+            tables.overwrite_partition(out.where(F.col("dt") == F.lit(day)).drop("dt"), self.path("dim_user_zip"), day)
 
     # ------------------------------------------------------------------ DWD
     def load_dwd(self, d: str, first_day: bool) -> None:
+        self.day = d
         prev = shift_date(d, -1)
-        dic = self.snap("base_dic", d)
-        prov = self.snap("base_province", d)
-        log = self.logs_to(d) if first_day else self.log(d)
+        dic = lambda: self.snap("base_dic", d)
+        prov = lambda: self.snap("base_province", d)
+        log = lambda: self.logs_to(d) if first_day else self.log(d)
         fd = dict(first_day=first_day)
         target = None if first_day else d
         logged = None if first_day else d  # first day: all days of the log, each to its own partition
-        self.put(dwd.trade_order_detail(self.inc("order_detail", [d]), self.inc("order_info", [d]),
+        self.put(lambda: dwd.trade_order_detail(self.inc("order_detail", [d]), self.inc("order_info", [d]),
                                         self.inc("order_detail_activity", [d]), self.inc("order_detail_coupon", [d]),
-                                        dic, d, **fd), "dwd_trade_order_detail_inc", target)
-        self.put(dwd.trade_cart_add(self.inc("cart_info", [d]), dic, d, **fd), "dwd_trade_cart_add_inc", target)
-        self.put(dwd.trade_cart_full(self.snap("cart_info", d), d), "dwd_trade_cart_full", d)
+                                        dic(), d, **fd), "dwd_trade_order_detail_inc", target)
+        self.put(lambda: dwd.trade_cart_add(self.inc("cart_info", [d]), dic(), d, **fd), "dwd_trade_cart_add_inc", target)
+        self.put(lambda: dwd.trade_cart_full(self.snap("cart_info", d), d), "dwd_trade_cart_full", d)
         both = [d] if first_day else [prev, d]
-        self.put(dwd.trade_cancel_detail(self.inc("order_detail", both), self.inc("order_info", both),
+        self.put(lambda: dwd.trade_cancel_detail(self.inc("order_detail", both), self.inc("order_info", both),
                                          self.inc("order_detail_activity", both),
-                                         self.inc("order_detail_coupon", both), dic, d, **fd),
+                                         self.inc("order_detail_coupon", both), dic(), d, **fd),
                  "dwd_trade_cancel_detail_inc", target)
-        self.put(dwd.trade_pay_detail(self.inc("order_detail", both), self.inc("order_info", both),
+        self.put(lambda: dwd.trade_pay_detail(self.inc("order_detail", both), self.inc("order_info", both),
                                       self.inc("payment_info", [d]), self.inc("order_detail_activity", both),
-                                      self.inc("order_detail_coupon", both), dic, d, **fd),
+                                      self.inc("order_detail_coupon", both), dic(), d, **fd),
                  "dwd_trade_pay_detail_suc_inc", target)
-        self.put(dwd.trade_order_refund(self.inc("order_refund_info", [d]), self.inc("order_info", [d]), dic, d, **fd),
+        self.put(lambda: dwd.trade_order_refund(self.inc("order_refund_info", [d]), self.inc("order_info", [d]), dic(), d, **fd),
                  "dwd_trade_order_refund_inc", target)
-        self.put(dwd.trade_refund_pay(self.inc("refund_payment", [d]), self.inc("order_info", [d]),
-                                      self.inc("order_refund_info", [d]), dic, d, **fd),
+        self.put(lambda: dwd.trade_refund_pay(self.inc("refund_payment", [d]), self.inc("order_info", [d]),
+                                      self.inc("order_refund_info", [d]), dic(), d, **fd),
                  "dwd_trade_refund_pay_suc_inc", target)
-        coupon_use = self.inc("coupon_use", [d])
-        self.put(dwd.tool_coupon_get(coupon_use, d, **fd), "dwd_tool_coupon_get_inc", target)
-        self.put(dwd.tool_coupon_order(coupon_use, d, **fd), "dwd_tool_coupon_order_inc", target)
-        self.put(dwd.tool_coupon_pay(coupon_use, d, **fd), "dwd_tool_coupon_pay_inc", target)
-        self.put(dwd.interaction_favor_add(self.inc("favor_info", [d]), d, **fd), "dwd_interaction_favor_add_inc", target)
-        self.put(dwd.interaction_comment(self.inc("comment_info", [d]), dic, d, **fd), "dwd_interaction_comment_inc", target)
-        self.put(dwd.traffic_page_view(log, prov, logged), "dwd_traffic_page_view_inc", target)
-        self.put(dwd.traffic_start(log, prov, logged), "dwd_traffic_start_inc", target)
-        self.put(dwd.traffic_action(log, prov, logged), "dwd_traffic_action_inc", target)
-        self.put(dwd.traffic_display(log, prov, logged), "dwd_traffic_display_inc", target)
-        self.put(dwd.traffic_error(log, prov, logged), "dwd_traffic_error_inc", target)
-        self.put(dwd.user_login(log, prov, logged), "dwd_user_login_inc", target)
-        self.put(dwd.user_register(self.inc("user_info", [d]), log, prov, logged, **fd), "dwd_user_register_inc", target)
+        coupon_use = lambda: self.inc("coupon_use", [d])
+        self.put(lambda: dwd.tool_coupon_get(coupon_use(), d, **fd), "dwd_tool_coupon_get_inc", target)
+        self.put(lambda: dwd.tool_coupon_order(coupon_use(), d, **fd), "dwd_tool_coupon_order_inc", target)
+        self.put(lambda: dwd.tool_coupon_pay(coupon_use(), d, **fd), "dwd_tool_coupon_pay_inc", target)
+        self.put(lambda: dwd.interaction_favor_add(self.inc("favor_info", [d]), d, **fd), "dwd_interaction_favor_add_inc", target)
+        self.put(lambda: dwd.interaction_comment(self.inc("comment_info", [d]), dic(), d, **fd), "dwd_interaction_comment_inc", target)
+        self.put(lambda: dwd.traffic_page_view(log(), prov(), logged), "dwd_traffic_page_view_inc", target)
+        self.put(lambda: dwd.traffic_start(log(), prov(), logged), "dwd_traffic_start_inc", target)
+        self.put(lambda: dwd.traffic_action(log(), prov(), logged), "dwd_traffic_action_inc", target)
+        self.put(lambda: dwd.traffic_display(log(), prov(), logged), "dwd_traffic_display_inc", target)
+        self.put(lambda: dwd.traffic_error(log(), prov(), logged), "dwd_traffic_error_inc", target)
+        self.put(lambda: dwd.user_login(log(), prov(), logged), "dwd_user_login_inc", target)
+        self.put(lambda: dwd.user_register(self.inc("user_info", [d]), log(), prov(), logged, **fd), "dwd_user_register_inc", target)
 
     # ------------------------------------------------------------------ DWS
     def load_dws_1d(self, d: str, first_day: bool) -> None:
+        self.day = d
         days = None if first_day else [d]
         target = None if first_day else d
-        od = self.read("dwd_trade_order_detail_inc", days)
-        sku = self.read("dim_sku_full", [d]).drop("dt")
-        prov = self.read("dim_province_full", [d]).drop("dt")
-        self.put(dws.trade_user_sku_order_1d(od, sku), "dws_trade_user_sku_order_1d", target)
-        self.put(dws.trade_user_order_1d(od), "dws_trade_user_order_1d", target)
-        self.put(dws.trade_province_order_1d(od, prov), "dws_trade_province_order_1d", target)
-        self.put(dws.trade_user_cart_add_1d(self.read("dwd_trade_cart_add_inc", days)), "dws_trade_user_cart_add_1d", target)
-        refund = self.read("dwd_trade_order_refund_inc", days)
-        self.put(dws.trade_user_sku_order_refund_1d(refund, sku), "dws_trade_user_sku_order_refund_1d", target)
-        self.put(dws.trade_user_order_refund_1d(refund), "dws_trade_user_order_refund_1d", target)
-        self.put(dws.trade_user_payment_1d(self.read("dwd_trade_pay_detail_suc_inc", days)), "dws_trade_user_payment_1d", target)
-        pv = self.read("dwd_traffic_page_view_inc", days)
-        self.put(dws.traffic_session_page_view_1d(pv), "dws_traffic_session_page_view_1d", target)
-        self.put(dws.traffic_page_visitor_page_view_1d(pv), "dws_traffic_page_visitor_page_view_1d", target)
+        od = lambda: self.read("dwd_trade_order_detail_inc", days)
+        sku = lambda: self.read("dim_sku_full", [d]).drop("dt")
+        prov = lambda: self.read("dim_province_full", [d]).drop("dt")
+        self.put(lambda: dws.trade_user_sku_order_1d(od(), sku()), "dws_trade_user_sku_order_1d", target)
+        self.put(lambda: dws.trade_user_order_1d(od()), "dws_trade_user_order_1d", target)
+        self.put(lambda: dws.trade_province_order_1d(od(), prov()), "dws_trade_province_order_1d", target)
+        self.put(lambda: dws.trade_user_cart_add_1d(self.read("dwd_trade_cart_add_inc", days)), "dws_trade_user_cart_add_1d", target)
+        refund = lambda: self.read("dwd_trade_order_refund_inc", days)
+        self.put(lambda: dws.trade_user_sku_order_refund_1d(refund(), sku()), "dws_trade_user_sku_order_refund_1d", target)
+        self.put(lambda: dws.trade_user_order_refund_1d(refund()), "dws_trade_user_order_refund_1d", target)
+        self.put(lambda: dws.trade_user_payment_1d(self.read("dwd_trade_pay_detail_suc_inc", days)), "dws_trade_user_payment_1d", target)
+        pv = lambda: self.read("dwd_traffic_page_view_inc", days)
+        self.put(lambda: dws.traffic_session_page_view_1d(pv()), "dws_traffic_session_page_view_1d", target)
+        self.put(lambda: dws.traffic_page_visitor_page_view_1d(pv()), "dws_traffic_page_visitor_page_view_1d", target)
 
     def load_dws_nd(self, d: str) -> None:
         pairs = [
@@ -222,27 +303,29 @@ class Chain:
             ("dws_traffic_page_visitor_page_view_1d", "dws_traffic_page_visitor_page_view_nd",
              dws.traffic_page_visitor_page_view_nd),
         ]
+        self.day = d
         for src, out, op in pairs:
-            self.put(op(self.window(src, d), d), out, d)
-        od = self.window("dwd_trade_order_detail_inc", d)
-        self.put(dws.trade_coupon_order_nd(od, self.read("dim_coupon_full", [d]).drop("dt"), d),
+            self.put(functools.partial(lambda op, src: op(self.window(src, d), d), op, src), out, d)
+        od = lambda: self.window("dwd_trade_order_detail_inc", d)
+        self.put(lambda: dws.trade_coupon_order_nd(od(), self.read("dim_coupon_full", [d]).drop("dt"), d),
                  "dws_trade_coupon_order_nd", d)
-        self.put(dws.trade_activity_order_nd(od, self.read("dim_activity_full", [d]).drop("dt"), d),
+        self.put(lambda: dws.trade_activity_order_nd(od(), self.read("dim_activity_full", [d]).drop("dt"), d),
                  "dws_trade_activity_order_nd", d)
 
     def load_dws_td(self, d: str, first_day: bool) -> None:
+        self.day = d
         prev = shift_date(d, -1)
         if first_day:
-            self.put(dws.trade_user_order_td_init(self.read("dws_trade_user_order_1d"), d), "dws_trade_user_order_td", d)
-            self.put(dws.trade_user_payment_td_init(self.read("dws_trade_user_payment_1d"), d), "dws_trade_user_payment_td", d)
-            users = self.read("dim_user_zip", [OPEN]).drop("dt")
-            self.put(dws.user_login_td_init(users, self.read("dwd_user_login_inc"), d), "dws_user_user_login_td", d)
+            self.put(lambda: dws.trade_user_order_td_init(self.read("dws_trade_user_order_1d"), d), "dws_trade_user_order_td", d)
+            self.put(lambda: dws.trade_user_payment_td_init(self.read("dws_trade_user_payment_1d"), d), "dws_trade_user_payment_td", d)
+            users = lambda: self.read("dim_user_zip", [OPEN]).drop("dt")
+            self.put(lambda: dws.user_login_td_init(users(), self.read("dwd_user_login_inc"), d), "dws_user_user_login_td", d)
             return
-        self.put(dws.trade_user_order_td(self.state("dws_trade_user_order_td", prev),
+        self.put(lambda: dws.trade_user_order_td(self.state("dws_trade_user_order_td", prev),
                                          self.read("dws_trade_user_order_1d", [d]), d), "dws_trade_user_order_td", d)
-        self.put(dws.trade_user_payment_td(self.state("dws_trade_user_payment_td", prev),
+        self.put(lambda: dws.trade_user_payment_td(self.state("dws_trade_user_payment_td", prev),
                                            self.read("dws_trade_user_payment_1d", [d]), d), "dws_trade_user_payment_td", d)
-        self.put(dws.user_login_td(self.state("dws_user_user_login_td", prev), self.read("dwd_user_login_inc", [d]), d),
+        self.put(lambda: dws.user_login_td(self.state("dws_user_user_login_td", prev), self.read("dwd_user_login_inc", [d]), d),
                  "dws_user_user_login_td", d)
 
     # ------------------------------------------------------------------ ADS
@@ -280,13 +363,19 @@ class Chain:
         return out
 
     def load_ads(self, d: str) -> None:
-        for name, df in self.reports(d).items():
-            tables.replace_report_day(self.spark, df, self.path(name), d)
+        """R1–R16 and their publishing; a report is a step, and so is publishing it."""
+        self.day = d
+        made, inputs = self._planned(lambda: self.reports(d))
+        for name, df in made.items():
+            self._step(name, inputs, functools.partial(tables.replace_report_day, self.spark, df, self.path(name), d))
             if self.publish_root:
-                published = self.read(name, [d])
-                if not tables.drop_empty(published):
-                    tables.report_upsert(self.spark, published, tables.table_path(self.publish_root, name),
-                                         REPORT_KEYS[name])
+                self._step(f"publish-{name}", inputs, functools.partial(self._publish, name, d))
+
+    def _publish(self, name: str, d: str) -> None:
+        """S15, unless the report has no rows."""
+        rows = self.read(name, [d])
+        if not tables.drop_empty(rows):
+            tables.report_upsert(self.spark, rows, tables.table_path(self.publish_root, name), REPORT_KEYS[name])
 
     # --------------------------------------------------------------- chains
     def run_first_day(self, d: str, current_root: str | None = None) -> None:
@@ -329,9 +418,10 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--landing", default=None, help="landed files root (loaded into --ods first)")
     p.add_argument("--date", required=True, help="business date yyyy-MM-dd")
     p.add_argument("--first-day", action="store_true", help="bootstrap run")
+    p.add_argument("--again", action="store_true", help="run every step, also those that are done")
     p.add_argument("--current", default=None, help="exported current rows of the change tables (first day: bootstrapped from them)")
     a = p.parse_args(argv)
-    chain = Chain(get_session(), a.ods, a.warehouse, a.publish)
+    chain = Chain(get_session(), a.ods, a.warehouse, a.publish, resume=not a.again)
     if a.landing:
         chain.load_ods(a.date, a.landing)
     if a.first_day:

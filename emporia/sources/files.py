@@ -30,6 +30,44 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(the JVM, ``path`` as its path, the file system that holds it)."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, jpath, jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def write_small(spark: SparkSession, path: str, text: str, replace: bool = True) -> None:
+    """A small text file on any file system; without ``replace`` an existing one raises."""
+    _, jpath, fs = hadoop_path(spark, path)
+    out = fs.create(jpath, replace)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """Its text, or None if it isn't there."""
+    jvm, jpath, fs = hadoop_path(spark, path)
+    if not fs.exists(jpath):
+        return None
+    stream = fs.open(jpath)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def listing(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, bytes, time) of the data files right under a folder, in order; none if it is missing."""
+    if not path_exists(spark, path):
+        return []
+    _, jpath, fs = hadoop_path(spark, path)
+    found = [(s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(jpath) if s.isFile()]
+    return sorted(f for f in found if not f[0].startswith(("_", ".")))
+
+
 def _paths(root: str, table: str, days: Iterable[str] | None) -> tuple[list[str], str]:
     base = f"{root.rstrip('/')}/{table}"
     if days is None:

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from emporia import schemas
 from emporia.functions.spans import shift_date
+from emporia.plans import daily
 from emporia.plans.daily import Chain
-from emporia.sinks import tables
+from emporia.plans.steps import HalfWritten
+from emporia.sinks import tables, versions
 from emporia.sources import files
 
 from tests.ods_fixture import D0, D1, secs, write
@@ -65,8 +67,9 @@ def test_first_day_then_daily(spark, tmpdir_path):
     before = _layers(chain)
     assert len(chain.reports(D1)) == 15
     published = sorted(map(tuple, tables.read_table(spark, f"{pub}/ads_trade_stats").collect()), key=repr)
-    again = Chain(spark, ods, wh, pub, quiet=QUIET)
+    again = Chain(spark, ods, wh, pub, quiet=QUIET, resume=False)
     again.run_day(D1)
+    assert len(again.ran) > 60
     assert _layers(again) == before
     assert sorted(map(tuple, tables.read_table(spark, f"{pub}/ads_trade_stats").collect()), key=repr) == published
 
@@ -99,7 +102,7 @@ def test_publishing_null_keys_again_adds_nothing(spark, tmpdir_path):
     rows = spark.createDataFrame([(D0, None, 1)], "dt string, tm_id string, n long")
     for _ in range(3):
         tables.report_upsert(spark, rows, f"{tmpdir_path}/r", ["dt", "tm_id"])
-    assert spark.read.parquet(f"{tmpdir_path}/r").count() == 1
+    assert tables.read_table(spark, f"{tmpdir_path}/r").count() == 1
 
 
 def test_files_follow_the_size_of_days(spark, tmpdir_path):
@@ -158,3 +161,101 @@ def test_current_rows_are_the_latest_states(spark):
     got = {(r["id"], r["order_status"]) for r in files.current_rows(changes).collect()}
     assert got == {("a", "3"), ("b", "2"), (None, "0")}
     assert files.current_rows(changes.limit(0)).count() == 0
+
+
+def test_a_failed_chain_resumes_at_the_broken_step(spark, tmpdir_path, monkeypatch):
+    ods, wh, pub = f"{tmpdir_path}/ods", f"{tmpdir_path}/wh", f"{tmpdir_path}/pub"
+    write(ods)
+    first = Chain(spark, ods, wh, pub, quiet=QUIET)
+    first.run_first_day(D0)
+    assert len(first.ran) == len(set(first.ran)) and ("dim_user_zip", D0) in first.ran
+
+    monkeypatch.setattr(daily.tables, "overwrite_partition", _failing(daily.tables.overwrite_partition, "dws_trade_user_payment_1d"))
+    failed = Chain(spark, ods, wh, pub, quiet=QUIET)
+    with pytest.raises(RuntimeError, match="killed"):
+        failed.run_day(D1)
+    monkeypatch.undo()
+    states = {(r["table"], r["day"]): r["state"] for r in failed.steps.report().collect()}
+    assert states["dws_trade_user_payment_1d", D1] == "running" and states["dws_trade_user_order_1d", D1] == "done"
+    with pytest.raises(HalfWritten):
+        Chain(spark, ods, wh, pub, quiet=QUIET).read("dws_trade_user_payment_1d", [D1])
+    with pytest.raises(HalfWritten):  # nothing is built on it either
+        Chain(spark, ods, wh, pub, quiet=QUIET).load_dws_nd(D1)
+
+    resumed = Chain(spark, ods, wh, pub, quiet=QUIET)
+    resumed.run_day(D1)
+    assert resumed.ran[0] == ("dws_trade_user_payment_1d", D1) and not {t for t, _ in resumed.ran} & {t for t, _ in failed.ran}
+    want = _layers(resumed)
+    done = Chain(spark, ods, wh, pub, quiet=QUIET)
+    done.run_day(D1)
+    assert done.ran == [] and _layers(done) == want
+
+    # a raw file that changes runs what is made from it, and no more
+    os.utime(f"{ods}/ods_cart_info_inc/dt={D1}/part-0.json", (1, 1))
+    changed = Chain(spark, ods, wh, pub, quiet=QUIET)
+    changed.run_day(D1)
+    ran = {t for t, _ in changed.ran}
+    assert "dwd_trade_cart_add_inc" in ran and "dwd_trade_order_detail_inc" not in ran and "dim_sku_full" not in ran
+    assert _layers(changed) == want
+
+
+def _failing(write, table):
+    def run(df, path, dt):
+        if path.endswith(table):
+            write(df.limit(0), path, dt)  # a part is there already
+            raise RuntimeError("killed")
+        write(df, path, dt)
+    return run
+
+
+def test_a_zipper_that_was_half_replaced_is_replaced_from_its_copy(spark, tmpdir_path, monkeypatch):
+    ods, wh = f"{tmpdir_path}/ods", f"{tmpdir_path}/wh"
+    write(ods)
+    for root in (wh, f"{wh}-whole"):
+        Chain(spark, ods, root, quiet=QUIET).load_user_zip(D0, first_day=True)
+    whole = Chain(spark, ods, f"{wh}-whole", quiet=QUIET)
+    whole.load_user_zip(D1, first_day=False)
+    real = tables.overwrite_partition
+
+    def half(df, path, dt):
+        if dt == "9999-12-31":
+            raise RuntimeError("killed")  # the closed versions are written, the open ones aren't
+        real(df, path, dt)
+
+    monkeypatch.setattr(daily.tables, "overwrite_partition", half)
+    with pytest.raises(RuntimeError, match="killed"):
+        Chain(spark, ods, wh, quiet=QUIET).load_user_zip(D1, first_day=False)
+    monkeypatch.undo()
+    with pytest.raises(HalfWritten):
+        Chain(spark, ods, wh, quiet=QUIET).read("dim_user_zip", ["9999-12-31"])
+    chain = Chain(spark, ods, wh, quiet=QUIET)
+    chain.load_user_zip(D1, first_day=False)
+    assert _layers(chain) == _layers(whole)
+
+
+def test_readers_see_a_report_before_or_after_a_commit(spark, tmpdir_path):
+    path = f"{tmpdir_path}/r"
+    rows = lambda *r: spark.createDataFrame(list(r), "dt string, tm_id string, n long")
+    seen = lambda: sorted(map(tuple, tables.read_table(spark, path).collect()), key=repr)
+    tables.replace_report_day(spark, rows((D0, "a", 1), (D0, None, 2)), path, D0)
+    before = seen()
+    version = versions.stage_days(rows((D0, "b", 9)), path)  # written, not switched: a crash here changes nothing
+    assert seen() == before == [("a", 1, D0), (None, 2, D0)]
+    old = tables.read_table(spark, path)  # a reader that began before the switch
+    versions.switch(spark, path, version, [D0])
+    assert seen() == [("b", 9, D0)] and old.count() == 2
+    number = versions.current(spark, path)[0]
+    files.write_small(spark, f"{path}/_manifests/{number + 1:012d}", "")  # a writer cut off while it switched
+    assert seen() == [("b", 9, D0)]
+
+    tables.report_upsert(spark, rows((D0, "b", 10), (D0, None, 3), (D1, "c", 4)), path, ["dt", "tm_id"])
+    tables.report_upsert(spark, rows((D0, None, 5)), path, ["dt", "tm_id"])  # a NULL key is replaced too
+    assert seen() == sorted([("b", 10, D0), (None, 5, D0), ("c", 4, D1)], key=repr)
+    tables.report_upsert(spark, rows(), path, ["dt", "tm_id"])  # nothing to publish changes nothing
+    assert len(seen()) == 3
+    assert [r.dt for r in tables.list_partitions(spark, path).collect()] == [D0, D1]
+    tables.replace_report_day(spark, rows(), path, D1)
+    assert len(seen()) == 2 and tables.read_table(spark, path, [D1]).columns == ["tm_id", "n", "dt"]
+    with pytest.raises(versions.LostRace):  # computed from a state that another writer replaced
+        versions.commit_days(rows((D0, "x", 0)), path, [D0], after=number)
+    assert versions.vacuum(spark, path) >= 2 and len(seen()) == 2 and versions.vacuum(spark, path) == 0
