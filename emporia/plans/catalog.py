@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from emporia import schemas
 from emporia.functions.spans import shift_date
 from emporia.operators import ads, dim, dwd, dws
+from emporia.plans import landed
 from emporia.session import scratch_folder
 from emporia.streaming import routing
 from emporia.sources import files
@@ -361,6 +362,15 @@ def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["normalize_types"] = lambda w: files.normalize_types(w.b.raw("orders"))
     q["stream_partition_log_by_event_day"] = lambda w: log_routing(w)
     q["stream_route_cdc"] = lambda w: change_routing(w)
+    # ---- raw days, checked and replay-safe reading, publishing
+    q["read_snapshot_checked"] = landed.snapshot_checked
+    q["load_ods_late_arrival"] = landed.late_arrival
+    q["read_cdc_once"] = lambda w: _all_changes(landed.read_changes_once(w))
+    q["read_cdc_drift"] = landed.change_drift
+    q["read_log_once"] = landed.read_log_once
+    q["report_published"] = lambda w: landed.published_report(
+        w, ads.order_by_province(w.province_1d(*w._w30(w.d)), w.province_nd(), w.d), ["dt", "recent_days", "province_name"])
+    q["dim_user_zip_late_days"] = landed.zipper_with_late_days
     return {name: _w(fn) for name, fn in q.items()}
 
 

@@ -27,8 +27,9 @@ from emporia.functions.spans import shift_date
 from emporia.operators import ads, dim, dwd, dws
 from emporia.plans.steps import DONE, StepLedger, fingerprint, raw_fingerprint
 from emporia.session import scratch_folder
-from emporia.sinks import tables
-from emporia.sources import files
+from emporia.sinks import landing, tables
+from emporia.sources import files, quality
+from emporia.sources.quality import Budget
 
 OPEN = dim.OPEN_END
 
@@ -61,12 +62,16 @@ class Chain:
     quiet: frozenset[str] = frozenset()  # change tables whose day folder may be missing (a day without changes)
     resume: bool = True  # pass over steps whose inputs are as they were when the step ended
     steps_root: str | None = None  # the step ledger; beside the warehouse folder by default
+    budget: Budget | None = None  # bad lines that a snapshot may have; None: lines are read as they are
+    rejected_root: str | None = None  # sidecar of the snapshots' bad lines
+    once: bool = False  # changes that landed several times count once
 
     def __post_init__(self):
         self.steps = StepLedger(self.spark, self.steps_root or f"{self.wh_root.rstrip('/')}-steps")
         self.day = ""  # the run's day
         self.ran: list[tuple[str, str]] = []  # steps that wrote, in order
         self._read: dict | None = None  # what the step being planned reads
+        self._checked: dict = {}  # snapshots that were read and checked
 
     # ------------------------------------------------------------------ io
     def path(self, table: str) -> str:
@@ -104,10 +109,16 @@ class Chain:
 
     def snap(self, table: str, d: str) -> DataFrame:
         self._raw(f"ods_{table}_full", [d])
+        if self.budget is not None:
+            if (table, d) not in self._checked:  # several steps read it
+                self._checked[table, d] = quality.read_snapshot_checked(self.spark, self.ods_root, table, d, self.budget, self.rejected_root).rows
+            return self._checked[table, d]
         return files.read_snapshot(self.spark, self.ods_root, table, [d])
 
     def inc(self, table: str, days: list[str]) -> DataFrame:
         self._raw(f"ods_{table}_inc", days)
+        if self.once and all(files.path_exists(self.spark, f"{self.ods_root.rstrip('/')}/ods_{table}_inc/dt={d}") for d in days):
+            return quality.read_changes_once(self.spark, self.ods_root, table, days)
         return files.read_changes(self.spark, self.ods_root, table, days, may_be_absent=table in self.quiet)
 
     def log(self, d: str) -> DataFrame:
@@ -155,13 +166,17 @@ class Chain:
         """Landed files of day ``d`` (``<landing>/<table>/<d>/``) into the raw tables."""
         from emporia import schemas
 
-        loaded = {}
-        names = [f"ods_{t}_full" for t in schemas.SNAPSHOTS] + [f"ods_{t}_inc" for t in schemas.CHANGE_DATA]
-        for name in names:
-            loaded[name] = tables.load_ods_day(self.spark, f"{landing_root}/{name}/{d}", f"{self.ods_root}/{name}", d)
-        loaded["ods_log_inc"] = tables.load_ods_day(
-            self.spark, f"{landing_root}/ods_log_inc/{d}", f"{self.ods_root}/ods_log_inc", d)
-        return loaded
+        return {name: d in days for name, days in self.load_landed(landing_root, [d]).items()}
+
+    def load_landed(self, landing_root: str, days: list[str] | None = None) -> dict[str, dict[str, bool]]:
+        """S9/S10 for all tables: days with new files are made again from all their files, the others passed over.
+
+        Returns table -> day -> whether it was loaded now: the days that ``run_day`` has to run (again) for.
+        """
+        from emporia import schemas
+
+        names = [f"ods_{t}_full" for t in schemas.SNAPSHOTS] + [f"ods_{t}_inc" for t in schemas.CHANGE_DATA] + ["ods_log_inc"]
+        return {n: landing.load_landed(self.spark, f"{landing_root.rstrip('/')}/{n}", f"{self.ods_root.rstrip('/')}/{n}", days) for n in names}
 
     def bootstrap(self, d: str, current_root: str) -> None:
         """The 13 change tables' current rows (``<current_root>/<table>``) as the raw changes of the first day.
@@ -205,7 +220,8 @@ class Chain:
         prev = shift_date(d, -1)
         found = self.steps.entry("dim_user_zip", d)
         if found and found["state"] != DONE and found.get("copy") and files.path_exists(self.spark, f"{found['copy']}/_SUCCESS"):
-            self._replace_zipper(found["copy"], d, prev)
+            spliced = "gone" in self.spark.read.parquet(found["copy"]).columns
+            self._replace_zipper(found["copy"], d, *(self._moved(found["copy"]) if spliced else (prev, OPEN)))
             self.steps.finish("dim_user_zip", d, found["inputs"])
             self.ran.append(("dim_user_zip", d))
         users, raw = self._planned(lambda: self.inc("user_info", [d]))
@@ -214,18 +230,36 @@ class Chain:
             return
         newest = self.state("dim_user_zip", OPEN).agg(F.max("start_date")).first()[0]
         if newest and newest > d:
-            raise ValueError(f"dim_user_zip already holds {newest}; {d} can't be merged after it")
+            self._splice_zipper(users, d, inputs)
+            return
         zipper = self.read("dim_user_zip", [OPEN, prev])
         copy = scratch_folder(self.spark, "zipper")
         dim.user_zip(dim.zipper_before(zipper, d), users, d).write.parquet(copy)
         self.steps.begin("dim_user_zip", d, inputs, copy=copy)
-        self._replace_zipper(copy, d, prev)
+        self._replace_zipper(copy, d, prev, OPEN)
         self.steps.finish("dim_user_zip", d, inputs)
         self.ran.append(("dim_user_zip", d))
 
-    def _replace_zipper(self, copy: str, d: str, prev: str) -> None:
+    def _splice_zipper(self, users: DataFrame, d: str, inputs: str) -> None:
+        """A day older than the newest version: its changes go in between, and only the days that this moves are written."""
+        zipper = self.read("dim_user_zip")
+        if zipper.agg(F.min("start_date")).first()[0] >= d:
+            raise ValueError(f"dim_user_zip begins on {d} or later; the day can't be spliced in")
+        copy = scratch_folder(self.spark, "zipper")
+        dim.user_zip_splice(zipper, users.where(F.col("dt") == F.lit(d))).write.parquet(copy)
+        self.steps.begin("dim_user_zip", d, inputs, copy=copy)
+        self._replace_zipper(copy, d, *self._moved(copy))
+        self.steps.finish("dim_user_zip", d, inputs)
+        self.ran.append(("dim_user_zip", d))
+
+    def _moved(self, copy: str) -> list[str]:
+        return sorted(r.dt for r in self.spark.read.parquet(copy).select("dt").distinct().collect())
+
+    def _replace_zipper(self, copy: str, d: str, *days: str) -> None:
         out = self.spark.read.parquet(copy)
-        for day in (prev, OPEN):
+        if "gone" in out.columns:  # a splice: rows of the days that it moves, some of them empty by now
+            out = out.where("not gone").drop("gone")
+        for day in days:
             tables.overwrite_partition(out.where(F.col("dt") == F.lit(day)).drop("dt"), self.path("dim_user_zip"), day)
 
     # ------------------------------------------------------------------ DWD
