@@ -409,7 +409,7 @@ class Chain:
         """S15, unless the report has no rows."""
         rows = self.read(name, [d])
         if not tables.drop_empty(rows):
-            tables.report_upsert(self.spark, rows, tables.table_path(self.publish_root, name), REPORT_KEYS[name])
+            tables.report_upsert(self.spark, rows, tables.table_path(self.publish_root, name), REPORT_KEYS[name], keep=2)
 
     # --------------------------------------------------------------- chains
     def run_first_day(self, d: str, current_root: str | None = None) -> None:
