@@ -83,7 +83,7 @@ def traffic_stats_by_channel(session_1d: DataFrame, do_date: str) -> DataFrame:
 
 
 # ----------------------------------------------------------------------- R2
-def page_path(page_view: DataFrame, do_date: str) -> DataFrame:
+def page_path(page_view: DataFrame, do_date: str, most: int | None = None) -> DataFrame:
     """R2: numbered page→next-page transitions per span (``step-n:page``).
 
     A session id belongs to one day, so a session is either fully inside a
@@ -91,12 +91,13 @@ def page_path(page_view: DataFrame, do_date: str) -> DataFrame:
     counted per span with conditional sums. Rows without a session (before a
     device's first start) form one group per span, as in SQL; those are
     positioned per span. Both use the bucketed window, so neither a long
-    session nor the NULL group runs in one task. Order: ``ts`` then device (V19).
+    session nor the NULL group runs in one task. Order: ``ts`` then device (V19). ``most``: rows of a group
+    and hour beyond which the hour is split (all devices' session-less rows of an hour are one group).
     """
     rows = page_view.where(in_window("dt", do_date, 30)).select("session_id", "mid_id", "page_id", "ts", "dt")
 
     def transitions(df: DataFrame, keys: list[str]) -> DataFrame:
-        pos = position_and_next(df, keys, "ts", ["mid_id"], ["page_id"], rn_col="rn")
+        pos = position_and_next(df, keys, "ts", ["mid_id"], ["page_id"], rn_col="rn", most=most)
         return pos.select(
             *[c for c in df.columns if c not in ("page_id", "ts", "mid_id", "session_id")],
             F.concat(F.lit("step-"), F.col("rn").cast("string"), F.lit(":"), F.col("page_id")).alias("source"),

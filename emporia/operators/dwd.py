@@ -412,7 +412,7 @@ def _with_province(log_rows: DataFrame, province: DataFrame) -> DataFrame:
     return log_rows.join(p, log_rows.area_code == F.col("__area"), "left").drop("__area")
 
 
-def _sessionized(log: DataFrame) -> DataFrame:
+def _sessionized(log: DataFrame, most: int | None = None) -> DataFrame:
     """Page rows with ``session_id = mid + '-' + last session start`` (per device and day).
 
     ``last_page_id is null`` marks a start; rows before a device's first start
@@ -422,15 +422,15 @@ def _sessionized(log: DataFrame) -> DataFrame:
         *_common(), F.col("page.during_time").cast("bigint").alias("during_time"),
         *[F.col(f"page.{src}").alias(dst) for src, dst in PAGE], "ts", "dt",
     )
-    rows = running_start(rows, ["dt", "mid_id"], "ts", F.col("last_page_id").isNull(), "__start", how="last")
+    rows = running_start(rows, ["dt", "mid_id"], "ts", F.col("last_page_id").isNull(), "__start", how="last", most=most)
     return rows.withColumn("session_id", F.concat(F.col("mid_id"), F.lit("-"), F.col("__start").cast("string"))).drop(
         "__start"
     )
 
 
 def traffic_page_view(log: DataFrame, province: DataFrame, do_date: str | None = None,
-                      sessions: bool = True) -> DataFrame:
-    """page views with session id and province.
+                      sessions: bool = True, most: int | None = None) -> DataFrame:
+    """page views with session id and province. ``most``: rows of a device and hour beyond which the hour is split.
 
     Besides the table's columns the raw ``ts`` (ms) is kept: ``view_time`` has
     second resolution, and ordered reports need an unambiguous order (V19).
@@ -438,7 +438,7 @@ def traffic_page_view(log: DataFrame, province: DataFrame, do_date: str | None =
     for consumers that never read it (device × page summaries).
     """
     if sessions:
-        rows = _sessionized(_day(log, do_date))
+        rows = _sessionized(_day(log, do_date), most)
     else:
         rows = _day(log, do_date).where(F.col("page").isNotNull()).select(
             *_common(), F.col("page.during_time").cast("bigint").alias("during_time"),
@@ -542,14 +542,14 @@ def user_register(user_inc: DataFrame, log: DataFrame, province: DataFrame, do_d
     )
 
 
-def user_login(log: DataFrame, province: DataFrame, do_date: str | None = None) -> DataFrame:
+def user_login(log: DataFrame, province: DataFrame, do_date: str | None = None, most: int | None = None) -> DataFrame:
     """first logged-in page of each session (per day), with province.
 
     ``row_number() over (partition by session_id order by ts) = 1`` is a
     min-by aggregation here (map-side partial); rows of one ``ts`` are ordered
     by device. Rows without a session form one group per day, as in SQL.
     """
-    rows = _sessionized(_day(log, do_date)).where(F.col("user_id").isNotNull())
+    rows = _sessionized(_day(log, do_date), most).where(F.col("user_id").isNotNull())
     vals = ["user_id", "channel", "area_code", "version_code", "mid_id", "brand", "model", "operate_system"]
     first = first_row_per_group(rows.withColumn("__mid", F.col("mid_id")), ["dt", "session_id"], ["ts", "__mid"], vals)
     j = _with_province(first, province)
@@ -559,13 +559,13 @@ def user_login(log: DataFrame, province: DataFrame, do_date: str | None = None)
     )
 
 
-def session_running_count(log: DataFrame, do_date: str | None = None) -> DataFrame:
+def session_running_count(log: DataFrame, do_date: str | None = None, most: int | None = None) -> DataFrame:
     """the alternative session id — running count of session starts per device."""
     rows = _day(log, do_date).where(F.col("page").isNotNull()).select(
         F.col("common.mid").alias("mid"), F.col("page.last_page_id").alias("last_page_id"),
         F.col("page.page_id").alias("page_id"), "ts", "dt",
     )
-    rows = running_start(rows, ["dt", "mid"], "ts", F.col("last_page_id").isNull(), "__n", how="count")
+    rows = running_start(rows, ["dt", "mid"], "ts", F.col("last_page_id").isNull(), "__n", how="count", most=most)
     return rows.select(
         "mid", "last_page_id", "page_id", "ts",
         F.concat(F.col("mid"), F.lit("-"), F.col("__n").cast("string")).alias("session_id"), "dt",

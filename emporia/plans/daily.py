@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emporia.functions.sessions import HOT_ROWS
 from emporia.functions.spans import shift_date
 from emporia.operators import ads, dim, dwd, dws
 from emporia.plans.steps import DONE, StepLedger, fingerprint, raw_fingerprint
@@ -297,12 +298,12 @@ class Chain:
         self.put(lambda: dwd.tool_coupon_pay(coupon_use(), d, **fd), "dwd_tool_coupon_pay_inc", target)
         self.put(lambda: dwd.interaction_favor_add(self.inc("favor_info", [d]), d, **fd), "dwd_interaction_favor_add_inc", target)
         self.put(lambda: dwd.interaction_comment(self.inc("comment_info", [d]), dic(), d, **fd), "dwd_interaction_comment_inc", target)
-        self.put(lambda: dwd.traffic_page_view(log(), prov(), logged), "dwd_traffic_page_view_inc", target)
+        self.put(lambda: dwd.traffic_page_view(log(), prov(), logged, most=HOT_ROWS), "dwd_traffic_page_view_inc", target)
         self.put(lambda: dwd.traffic_start(log(), prov(), logged), "dwd_traffic_start_inc", target)
         self.put(lambda: dwd.traffic_action(log(), prov(), logged), "dwd_traffic_action_inc", target)
         self.put(lambda: dwd.traffic_display(log(), prov(), logged), "dwd_traffic_display_inc", target)
         self.put(lambda: dwd.traffic_error(log(), prov(), logged), "dwd_traffic_error_inc", target)
-        self.put(lambda: dwd.user_login(log(), prov(), logged), "dwd_user_login_inc", target)
+        self.put(lambda: dwd.user_login(log(), prov(), logged, most=HOT_ROWS), "dwd_user_login_inc", target)
         self.put(lambda: dwd.user_register(self.inc("user_info", [d]), log(), prov(), logged, **fd), "dwd_user_register_inc", target)
 
     # ------------------------------------------------------------------ DWS
@@ -369,7 +370,7 @@ class Chain:
         today = lambda t: r(t, [d])
         out = {
             "ads_traffic_stats_by_channel": ads.traffic_stats_by_channel(self.window("dws_traffic_session_page_view_1d", d), d),
-            "ads_page_path": ads.page_path(self.window("dwd_traffic_page_view_inc", d), d),
+            "ads_page_path": ads.page_path(self.window("dwd_traffic_page_view_inc", d), d, most=HOT_ROWS),
             "ads_user_change": ads.user_change(today("dws_user_user_login_td"), self.state("dws_user_user_login_td", prev), d),
             "ads_user_retention": ads.user_retention(self.window("dwd_user_register_inc", d, 8), today("dws_user_user_login_td"), d),
             "ads_user_stats": ads.user_stats(self.window("dwd_user_register_inc", d), today("dws_user_user_login_td"), d),
