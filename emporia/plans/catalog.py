@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporia import schemas
+from emporia.functions.sessions import HOT_ROWS
 from emporia.functions.spans import shift_date
 from emporia.operators import ads, dim, dwd, dws
 from emporia.plans import landed
@@ -171,11 +172,11 @@ class Warehouse:
     # ----------------------------------------------------------------- traffic
     @_shared
     def page_view(self, start=None, end=None) -> DataFrame:
-        return dwd.traffic_page_view(self.b.ods_log(start, end), self.b.ods_province())
+        return dwd.traffic_page_view(self.b.ods_log(start, end), self.b.ods_province(), most=HOT_ROWS)
 
     @_shared
     def login(self, start=None, end=None) -> DataFrame:
-        return dwd.user_login(self.b.ods_log(start, end), self.b.ods_province())
+        return dwd.user_login(self.b.ods_log(start, end), self.b.ods_province(), most=HOT_ROWS)
 
     @_shared
     def register(self, start=None, end=None) -> DataFrame:
@@ -287,7 +288,7 @@ def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["dwd_user_register_inc"] = lambda w: w.register()
     q["dwd_user_register_first_day"] = lambda w: w.register_first_day()
     q["dwd_user_login_inc"] = lambda w: w.login()
-    q["sessionize_running_sum"] = lambda w: dwd.session_running_count(w.b.ods_log())
+    q["sessionize_running_sum"] = lambda w: dwd.session_running_count(w.b.ods_log(), most=HOT_ROWS)
     # ---- DWS traffic / users
     q["dws_traffic_session_page_view_1d"] = lambda w: w.session_1d()
     q["dws_traffic_page_visitor_page_view_1d"] = lambda w: w.visitor_1d()
@@ -295,7 +296,7 @@ def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["dws_user_user_login_td"] = lambda w: w.login_td()
     # ---- ADS traffic / users
     q["ads_traffic_stats_by_channel"] = lambda w: ads.traffic_stats_by_channel(w.session_1d(*w._w30(w.t)), w.t)
-    q["ads_page_path"] = lambda w: ads.page_path(w.page_view(*w._w30(w.t)), w.t)
+    q["ads_page_path"] = lambda w: ads.page_path(w.page_view(*w._w30(w.t)), w.t, most=HOT_ROWS)
     q["ads_user_change"] = lambda w: ads.user_change(w.login_td(w.t), w.login_td(shift_date(w.t, -1)), w.t)
     q["ads_user_retention"] = lambda w: ads.user_retention(
         w.register(shift_date(RETENTION_DO_DATE, -7), RETENTION_DO_DATE), w.login_td(RETENTION_DO_DATE), RETENTION_DO_DATE)
@@ -370,6 +371,7 @@ def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["read_log_once"] = landed.read_log_once
     q["report_published"] = lambda w: landed.published_report(
         w, ads.order_by_province(w.province_1d(*w._w30(w.d)), w.province_nd(), w.d), ["dt", "recent_days", "province_name"])
+    q["run_day"] = landed.chained_days
     q["dim_user_zip_late_days"] = landed.zipper_with_late_days
     return {name: _w(fn) for name, fn in q.items()}
 

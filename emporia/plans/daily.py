@@ -15,9 +15,11 @@ half-written tables from being read. This module only orders the steps; Spark do
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
 import functools
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,6 +56,15 @@ REPORT_KEYS = {
 }
 
 
+def _together(load):
+    """A layer's steps run together."""
+    @functools.wraps(load)
+    def run(self, *args, **kw):
+        with self._layer():
+            load(self, *args, **kw)
+    return run
+
+
 @dataclass
 class Chain:
     spark: SparkSession
@@ -66,6 +77,7 @@ class Chain:
     budget: Budget | None = None  # bad lines that a snapshot may have; None: lines are read as they are
     rejected_root: str | None = None  # sidecar of the snapshots' bad lines
     once: bool = False  # changes that landed several times count once
+    together: int = 4  # steps of a layer that run at the same time: none of them reads another's table
 
     def __post_init__(self):
         self.steps = StepLedger(self.spark, self.steps_root or f"{self.wh_root.rstrip('/')}-steps")
@@ -73,6 +85,8 @@ class Chain:
         self.ran: list[tuple[str, str]] = []  # steps that wrote, in order
         self._read: dict | None = None  # what the step being planned reads
         self._checked: dict = {}  # snapshots that were read and checked
+        self._pool: ThreadPoolExecutor | None = None  # while a layer's steps run together
+        self._running: list = []
 
     # ------------------------------------------------------------------ io
     def path(self, table: str) -> str:
@@ -101,8 +115,7 @@ class Chain:
     def window(self, table: str, do_date: str, days: int = 30) -> DataFrame:
         lo = shift_date(do_date, -(days - 1))
         self._note(f"{table} {lo}-{do_date}", self.steps.whole(table, lo, do_date))
-        rows = tables.read_table(self.spark, self.path(table))
-        return rows.where((F.col("dt") >= F.lit(lo)) & (F.col("dt") <= F.lit(do_date)))
+        return tables.read_table(self.spark, self.path(table), [shift_date(lo, k) for k in range(days)])
 
     def _raw(self, name: str, days: list[str]) -> None:
         for d in days:
@@ -133,14 +146,38 @@ class Chain:
         self._raw("ods_log_inc", [x for x in days if x <= d])
         return files.read_log(self.spark, self.ods_root).where(F.col("dt") <= F.lit(d))
 
-    def _step(self, name: str, inputs: str, write: Callable[[], object]) -> None:
-        """Writes, unless the step is done from the same inputs."""
-        if self.resume and self.steps.is_done(name, self.day, inputs):
+    @contextlib.contextmanager
+    def _layer(self):
+        """Steps within run together, and all end before what follows; the first failure is raised then."""
+        if self.together < 2 or self._pool is not None:
+            yield
             return
-        self.steps.begin(name, self.day, inputs)
-        write()
-        self.steps.finish(name, self.day, inputs)
-        self.ran.append((name, self.day))
+        with ThreadPoolExecutor(self.together) as self._pool:
+            try:
+                yield
+            finally:
+                running, self._running, self._pool = self._running, [], None
+                wait(running)
+        for step in running:
+            step.result()
+
+    def _step(self, name: str, inputs: str, write: Callable[[], object], then: Callable[[], object] | None = None) -> None:
+        """Writes, unless the step is done from the same inputs; ``then`` follows in either case."""
+        day = self.day
+
+        def run() -> None:
+            if not (self.resume and self.steps.is_done(name, day, inputs)):
+                self.steps.begin(name, day, inputs)
+                write()
+                self.steps.finish(name, day, inputs)
+                self.ran.append((name, day))
+            if then is not None:
+                then()
+
+        if self._pool is None:
+            run()
+        else:
+            self._running.append(self._pool.submit(run))
 
     def _planned(self, make: Callable) -> tuple:
         """What ``make()`` gives, and the fingerprint of all that it reads."""
@@ -198,6 +235,7 @@ class Chain:
         """The calendar from its prepared file, replacing the whole (unpartitioned) table."""
         tables.overwrite_table(files.read_date_info(self.spark, date_info_path), self.path("dim_date"))
 
+    @_together
     def load_dims(self, d: str) -> None:
         self.day = d
         s = lambda t: self.snap(t, d)
@@ -264,6 +302,7 @@ class Chain:
             tables.overwrite_partition(out.where(F.col("dt") == F.lit(day)).drop("dt"), self.path("dim_user_zip"), day)
 
     # ------------------------------------------------------------------ DWD
+    @_together
     def load_dwd(self, d: str, first_day: bool) -> None:
         self.day = d
         prev = shift_date(d, -1)
@@ -307,6 +346,7 @@ class Chain:
         self.put(lambda: dwd.user_register(self.inc("user_info", [d]), log(), prov(), logged, **fd), "dwd_user_register_inc", target)
 
     # ------------------------------------------------------------------ DWS
+    @_together
     def load_dws_1d(self, d: str, first_day: bool) -> None:
         self.day = d
         days = None if first_day else [d]
@@ -326,6 +366,7 @@ class Chain:
         self.put(lambda: dws.traffic_session_page_view_1d(pv()), "dws_traffic_session_page_view_1d", target)
         self.put(lambda: dws.traffic_page_visitor_page_view_1d(pv()), "dws_traffic_page_visitor_page_view_1d", target)
 
+    @_together
     def load_dws_nd(self, d: str) -> None:
         pairs = [
             ("dws_trade_user_sku_order_1d", "dws_trade_user_sku_order_nd", dws.trade_user_sku_order_nd),
@@ -347,6 +388,7 @@ class Chain:
         self.put(lambda: dws.trade_activity_order_nd(od(), self.read("dim_activity_full", [d]).drop("dt"), d),
                  "dws_trade_activity_order_nd", d)
 
+    @_together
     def load_dws_td(self, d: str, first_day: bool) -> None:
         self.day = d
         prev = shift_date(d, -1)
@@ -401,16 +443,22 @@ class Chain:
         """R1–R16 and their publishing; a report is a step, and so is publishing it."""
         self.day = d
         made, inputs = self._planned(lambda: self.reports(d))
-        for name, df in made.items():
-            self._step(name, inputs, functools.partial(tables.replace_report_day, self.spark, df, self.path(name), d))
-            if self.publish_root:
-                self._step(f"publish-{name}", inputs, functools.partial(self._publish, name, d))
-
-    def _publish(self, name: str, d: str) -> None:
-        """S15, unless the report has no rows."""
-        rows = self.read(name, [d])
+        with self._layer():
+            for name, df in made.items():
+                publish = functools.partial(self._publish, name, d, inputs) if self.publish_root else None
+                self._step(name, inputs, functools.partial(tables.replace_report_day, self.spark, df, self.path(name), d), publish)
+
+    def _publish(self, name: str, d: str, inputs: str) -> None:
+        """S15, a step of its own, unless the report has no rows."""
+        step = f"publish-{name}"
+        if self.resume and self.steps.is_done(step, d, inputs):
+            return
+        rows = tables.read_table(self.spark, self.path(name), [d])
+        self.steps.begin(step, d, inputs)
         if not tables.drop_empty(rows):
             tables.report_upsert(self.spark, rows, tables.table_path(self.publish_root, name), REPORT_KEYS[name], keep=2)
+        self.steps.finish(step, d, inputs)
+        self.ran.append((step, d))
 
     # --------------------------------------------------------------- chains
     def run_first_day(self, d: str, current_root: str | None = None) -> None:
