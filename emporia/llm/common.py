@@ -31,7 +31,16 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/emporia-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     spark.sparkContext._jvm.System.gc()  # lets Spark drop the shuffle files of what is written now
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes staged tables that nothing reads any more."""
+    for table in tables:
+        path = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(table.staged_path)
+        path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def with_small_batches(docs: DataFrame, rows: int = 1000) -> DataFrame:
@@ -58,10 +67,17 @@ def sampled(df: DataFrame, by: list, size: int, salt: int) -> DataFrame:
     return df.filter(chance < int(size / total * (1 << 30)) + 1).limit(4 * size)
 
 
-def worker_memory() -> dict:
-    """A dict that lives as long as the Python worker, for what one task may leave to the next."""
+def worker_memory(kind: str = "") -> dict:
+    """A dict that lives as long as the Python worker, for what one task may leave to the next.
+
+    It holds things of one kind: a worker that goes on to another operator's tasks lets go of the last one's.
+    """
     home = sys.modules.setdefault("emporia_worker_memory", types.ModuleType("emporia_worker_memory"))
-    return home.__dict__.setdefault("kept", {})
+    kept = home.__dict__.setdefault("kept", {})
+    if home.__dict__.get("kind") != kind:
+        kept.clear()
+        home.__dict__["kind"] = kind
+    return kept
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

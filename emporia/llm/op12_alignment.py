@@ -227,7 +227,7 @@ class PartAligner:
 
 
 def _aligner(path_a: str | None, path_b: str | None) -> PartAligner:
-    kept = worker_memory()
+    kept = worker_memory("alignment")
     if ("aligner", path_a, path_b) not in kept:
         kept["aligner", path_a, path_b] = PartAligner(path_a, path_b)
     return kept["aligner", path_a, path_b]

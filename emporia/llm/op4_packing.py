@@ -41,7 +41,7 @@ SHARES = (1.0, 0.9, 0.75, 0.5, 0.25, 0.0)
 
 
 def _table(path: str | None) -> PartTable:
-    kept = worker_memory()
+    kept = worker_memory("packing")
     if ("parts", path) not in kept:
         from tokenizers import Tokenizer
 

@@ -194,7 +194,7 @@ class TextEncoder:
 
 def encoder_of(path: str | None = None, pattern: str | None = None) -> TextEncoder:
     """The worker's encoder: tasks that follow each other in a worker share what it remembers."""
-    kept = worker_memory()
+    kept = worker_memory("bpe")
     if ("bpe", path, pattern) not in kept:
         kept["bpe", path, pattern] = TextEncoder(path, pattern)
     return kept["bpe", path, pattern]

@@ -7,9 +7,10 @@ with equal shingle sets are one point. Points go through two levels of pivots.
    floor(RADIUS * size) + 1 shingles of each in any common order. So each point is replicated to
    the cells of those shingles and no further. Shingles that a sample shows to be frequent come last
    in the order, which keeps passages that many documents share from forming cells.
-2. Centres within a cell. The cell's smallest point is its centre. Each point is first measured against
-   one centre, the smallest of its cells'; then against the centres whose component it isn't in. Members
-   within RADIUS of a centre are linked through it, without a pair among themselves. Only pairs of
+   Of cells with the same members one is kept.
+2. Centres within a cell. The cell's smallest point is its centre. Each point is measured against one centre at
+   a time, the smallest of its cells' whose component it isn't in yet, and after some rounds against all
+   that are left. Members within RADIUS of a centre are linked through it, without a pair among themselves. Only pairs of
    members that are not in one component yet are joined further, and the triangle inequality leaves
    those whose distances from the centre differ by at most RADIUS. Cells that stay large take further
    centres, one for each component, and go round again.
@@ -31,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm.common import _MULT, Powers, mix64, sampled, staged, text_chunks, with_small_batches, word_hashes
+from emporia.llm.common import _MULT, Powers, discard, mix64, sampled, staged, text_chunks, with_small_batches, word_hashes, worker_memory
 
 WORDS = 5
 #: Documents link at 100 * intersection >= PERCENT * union.
@@ -45,6 +46,10 @@ SAMPLE_DOCS, SAMPLE_SHINGLES = 20_000, 400
 LEAF = 48
 #: Rounds of further centres; what is left then is joined pair by pair, split as it is large.
 ROUNDS = 3
+#: Rounds in which a point is measured against one of its cells' centres; the next one takes all that are left.
+SINGLE = 3
+#: Ids that are sent to every task to pick their rows, at most (8 MB); beyond it the rows are joined.
+SENT = 1_000_000
 
 
 def shingles(data: np.ndarray, at: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
@@ -95,6 +100,7 @@ def points(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
     def run(batches):
         import pyarrow as pa
 
+        worker_memory("jaccard")
         powers = Powers()
         for batch in batches:
             keys = batch.column(batch.schema.get_field_index(key))
@@ -125,8 +131,14 @@ def points(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
     return rows.mapInArrow(run, "doc_id bigint, n bigint, h1 bigint, h2 bigint, folds binary, cells array<bigint>")
 
 
+def _needed(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows (with ``id``) that some pair names: only these have to move."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    return rows.join(F.broadcast(ids) if ids.count() <= SENT else ids, "id", "left_semi")
+
+
 def possible(pairs: DataFrame, folds: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose folded counts allow a link. ``folds``: (id, n, folds)."""
+    """The pairs (a, b) of a stored table whose folded counts allow a link. ``folds``: (id, n, folds)."""
     def run(batches):
         import pyarrow as pa
 
@@ -136,16 +148,18 @@ def possible(pairs: DataFrame, folds: DataFrame) -> DataFrame:
             keep = (100 + PERCENT) * np.minimum(a, b).sum(axis=1, dtype=np.int64) >= PERCENT * n
             yield batch.select([0, 1]).filter(pa.array(keep))
 
+    folds = _needed(folds, pairs)
     side = lambda x: folds.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("folds").alias(f"f{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "fa", "nb", "fb")
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
 def measured(pairs: DataFrame, docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(a, b, same, either): sizes of the intersection and the union for each pair of doc_ids."""
+    """(a, b, same, either): sizes of the intersection and the union for each pair of doc_ids of a stored table."""
     def run(batches):
         import pyarrow as pa
 
+        worker_memory("jaccard")
         powers = Powers()
         for batch in batches:
             for begin in range(0, batch.num_rows, 128):
@@ -160,7 +174,7 @@ def measured(pairs: DataFrame, docs: DataFrame, text: str = "text", key: str = "
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(same, pa.int64()), pa.array(either, pa.int64())],
                                                  names=["a", "b", "same", "either"])
 
-    texts = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("t")).filter(F.col("t").isNotNull())
+    texts = _needed(docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("t")).filter(F.col("t").isNotNull()), pairs)
     pair = pairs.join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
     return pair.select("a", "b", "ta", "tb").mapInArrow(run, "a bigint, b bigint, same bigint, either bigint")
 
@@ -179,7 +193,8 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         large = both.join(least, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
-        links = staged(spark, small.select("e.u", "e.v").filter("u <> v").distinct(), "links")
+        before, links = links, staged(spark, small.select("e.u", "e.v").filter("u <> v").distinct(), "links")
+        discard(before)
         now = tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == mark:
             break
@@ -206,31 +221,41 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id")
         "doc_id", "n", F.coalesce("class_id", "doc_id").alias("class_id"))
     classes = staged(spark, classes, "classes")
     reps = rows.filter("n > 0").join(classes.filter("doc_id = class_id").select("doc_id").distinct(), "doc_id", "left_semi")
-    posted = reps.select(F.col("doc_id").alias("id"), "n", F.explode("cells").alias("cell"))
-    cells = posted.groupBy("cell").agg(F.min("id").alias("centre"), F.max("id").alias("other")).filter("centre < other")
-    posted = staged(spark, posted.join(cells.select("cell", "centre"), "cell"), "cells")
+    posted = reps.select(F.col("doc_id").alias("id"), "n", F.explode("cells").alias("cell")).repartition("cell")
+    # one shuffle for both: a cell's members are summed up where they lie, and found there again
+    sets = posted.groupBy("cell").agg(F.min(F.struct("id", "n")).alias("c"), F.count(F.lit(1)).alias("members"),
+                                      *[F.bit_xor(F.xxhash64("id", F.lit(k))).alias(f"x{k}") for k in (1, 2)]).filter("members > 1")
+    cells = sets.groupBy("members", "x1", "x2").agg(F.min(F.struct("cell", "c")).alias("one")).select("one.cell", F.col("one.c.id").alias("centre"), F.col("one.c.n").alias("centre_n"))
+    cells = staged(spark, cells, "cell-sets")
+    posted = staged(spark, posted.join(cells, "cell"), "cells")
 
     folds = reps.select(F.col("doc_id").alias("id"), "n", "folds").dropDuplicates(["id"])
     folds = staged(spark, folds, "folds")
+    discard(rows, cells)
 
     def measure(pairs: DataFrame) -> DataFrame:
         some = staged(spark, possible(pairs, folds), "pairs")
-        return staged(spark, measured(some, docs, text, key), "measured")
-
-    sizes = folds.select(F.col("id").alias("centre"), F.col("n").alias("centre_n"))
-    to_centre = posted.filter("id <> centre").select("id", "n", "centre").distinct().join(sizes, "centre")
-    to_centre = staged(spark, to_centre.filter(_near("n", "centre_n")).select("id", "centre"), "to-centre")
-    first = to_centre.groupBy("id").agg(F.min("centre").alias("centre")).select(F.col("id").alias("a"), F.col("centre").alias("b"))
-    known = measure(first)
-    group = components(spark, known.filter(_is_link()).select("a", "b"))
+        out = staged(spark, measured(some, docs, text, key), "measured")
+        discard(some)
+        return out
+
     name = lambda c: group.select(F.col("id").alias(c), F.col("component").alias(f"g_{c}"))
-    apart = to_centre.select(F.col("id").alias("a"), F.col("centre").alias("b")).join(first, ["a", "b"], "left_anti")
-    apart = apart.join(name("a"), "a", "left").join(name("b"), "b", "left")
-    apart = staged(spark, apart.filter(F.coalesce("g_a", "a") != F.coalesce("g_b", "b")).select("a", "b"), "apart")
-    tried = staged(spark, first.unionByName(apart), "tried")
-    if not apart.isEmpty():
-        known = known.unionByName(measure(apart))
+    to_centre = posted.filter("id <> centre").filter(_near("n", "centre_n")).select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
+    to_centre = staged(spark, to_centre, "to-centre")
+    known = tried = group = None
+    for turn in range(SINGLE + 1):
+        left = to_centre
+        if tried is not None:
+            left = left.join(tried, ["a", "b"], "left_anti").join(name("a"), "a", "left").join(name("b"), "b", "left")
+            left = left.filter(F.coalesce("g_a", "a") != F.coalesce("g_b", "b")).select("a", "b")
+        now = staged(spark, left.groupBy("a").agg(F.min("b").alias("b")) if turn < SINGLE else left, "centre-pairs")
+        if tried is not None and now.isEmpty():
+            break
+        more = measure(now)
+        tried = now if tried is None else tried.unionByName(now)
+        known = more if known is None else known.unionByName(more)
         group = components(spark, known.filter(_is_link()).select("a", "b"))
+    discard(to_centre)
 
     # Members of cells that are not in one component yet, with their distance from the cell's centre.
     def unresolved(members: DataFrame) -> DataFrame:
