@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from emporia.llm.common import sampled, with_small_batches
 
 SAMPLE_PAGES = 160
-#: Blocks of a sample page that are trained on at most.
+#: Blocks of a training sequence; longer pages give several, from their beginning to their end.
 TRAIN_BLOCKS = 60
 PATH, WORDS, MEASURES = 512, 32, 6
 HIDDEN = 16
@@ -41,9 +41,13 @@ EPOCHS = 10
 SEED = 5
 
 # Elements by role.
-INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark q ruby s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = set(
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark q ruby s samp small span strike strong sub sup time tt u var wbr "
+             "math mfrac mi mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext munder munderover semantics".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = set("script style template noscript textarea svg math iframe object canvas audio video select option datalist".split())
+SILENT = set("script style template noscript textarea svg annotation iframe object canvas audio video select option datalist".split())
+#: Silent elements that hold plain text until they are closed; another one without its end is passed over alone.
+RAW = set("script style textarea iframe".split())
 BOILER_TAGS = set("head nav header footer aside form button dialog menu fieldset".split())
 BOILER_WORDS = set(
     "ad ads advert advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay "
@@ -51,7 +55,9 @@ BOILER_WORDS = set(
     "replies discussion disqus share sharing social related recommended newsletter subscribe subscription signup login search form tags pagination pager toolbar".split())
 MAIN_WORDS = set("article content main post entry story body text page".split())
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>"']|"[^"]*"|'[^']*')*+)/?>|<[!?][^>]*>""", re.S)
+# A comment, a tag, a tag with a quote that is never closed (it ends at the next >), a tag that the page's end cuts off, or a declaration.
+_TOKEN = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>"']|"[^"]*"|'[^']*')*+)/?>|<(/?)([a-zA-Z][^\s/>"']*)([^<>]*)>|<[a-zA-Z][^<>]*\Z|<[!?][^>]*>""", re.S)
 _MARK = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _NAME = re.compile(r"[a-z]+(?:-[a-z]+)*|[A-Z][a-z]+")
 
@@ -90,12 +96,14 @@ def blocks_of(page: str) -> list[Block]:
         if not token:
             break
         at = token.end()
-        if token[2] is None:
+        mark = token.group(1, 2, 3) if token[2] else token.group(4, 5, 6)
+        if mark[1] is None:
             continue
-        tag, ends = token[2].lower(), bool(token[1])
+        tag, ends = mark[1].lower(), bool(mark[0])
         if tag in SILENT and not ends:
-            done = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = done.end() if done else size
+            if not (tag == "svg" and token[0].endswith("/>")):
+                done = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+                at = done.end() if done else size if tag in RAW else at
             pieces.append(" ")
             continue
         if tag not in INLINE:
@@ -115,7 +123,7 @@ def blocks_of(page: str) -> list[Block]:
                 fence = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in ("ul", "ol", "dl", "table", "div", "section", "article", "main")), -1)
                 if depth is not None and depth > fence:
                     del stack[depth:]
-            marks = " ".join(w.lower() for m in _MARK.finditer(token[3] or "") for w in _NAME.findall(m[1] or m[2] or m[3] or ""))
+            marks = " ".join(w.lower() for m in _MARK.finditer(mark[2] or "") for w in _NAME.findall(m[1] or m[2] or m[3] or ""))
             stack.append((tag, f"{tag} {marks}".strip()))
     close()
     return out
@@ -138,7 +146,7 @@ def _slot(word: str, size: int) -> tuple[int, float]:
 
 
 def vectors(blocks: list[Block], memory: dict) -> np.ndarray:
-    """One row per block: path, words, measures. ``memory`` keeps the rows of paths."""
+    """One row per block: path, all its words, measures. ``memory`` keeps the rows of paths, and the slots of words."""
     out = np.zeros((len(blocks), PATH + WORDS + MEASURES), np.float32)
     for i, b in enumerate(blocks):
         row = memory.get(b.path)
@@ -153,10 +161,17 @@ def vectors(blocks: list[Block], memory: dict) -> np.ndarray:
             if len(memory) < 50_000:
                 memory[b.path] = row
         out[i, :PATH] = row
-        words = b.text.split(" ", 40)[:40]
+        words = b.text.lower().split(" ")
+        sums = [0.0] * WORDS
         for w in words:
-            at, sign = _slot(w.lower(), WORDS)
-            out[i, PATH + at] += sign / len(words)
+            known = memory.get(w)
+            if known is None:
+                known = _slot(w, WORDS)
+                if len(memory) < 200_000:
+                    memory[w] = known
+            sums[known[0]] += known[1]
+        out[i, PATH : PATH + WORDS] = sums
+        out[i, PATH : PATH + WORDS] /= len(words)
         n = len(b.text)
         stops = sum(map(b.text.count, ".,;:!?"))
         out[i, PATH + WORDS :] = (np.log1p(n) / 6, b.linked / max(n, 1), stops / max(n, 1) * 10, i / max(len(blocks), 1), 1 / (1 + i), 1 / (len(blocks) - i))
@@ -327,7 +342,13 @@ def train_labeller(pages: DataFrame, html: str = "html", key: str = "page_id") -
     texts = [b.text for p in sample for b in p][:5000]
     seqs = sample + [dressed(p, texts, rng) for p in sample for _ in range(8)]
     memory: dict = {}
-    data = [(vectors(p, memory)[:TRAIN_BLOCKS], np.array([is_main(b.path) for b in p])[:TRAIN_BLOCKS]) for p in seqs]
+    data = []
+    for i, p in enumerate(seqs):
+        x, y = vectors(p, memory), np.array([is_main(b.path) for b in p])
+        last = max(len(p) - TRAIN_BLOCKS, 0)
+        # a sample page as windows that cover it; a re-dressed one as a window anywhere in it
+        starts = [*range(0, last, TRAIN_BLOCKS), last] if i < len(sample) else [rng.randint(0, last)]
+        data += [(x[a : a + TRAIN_BLOCKS], y[a : a + TRAIN_BLOCKS]) for a in starts]
     labeller = Labeller()
     labeller.fit(data)
     return labeller

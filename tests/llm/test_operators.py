@@ -332,6 +332,28 @@ def test_op9_labels_blocks(spark):
     assert op9.extracted(none, op9.train_labeller(none)).count() == 0
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<p>x<svg/>y</p><p>z</p>", ["x y", "z"]),
+    ("<p>x<svg class='i'/> y</p><p>z</p>", ["x y", "z"]),
+    ("<p>a <svg><text>no</text></svg>b</p>", ["a b"]),
+    ("<p>a <svg><text>b</text></p><p>c</p>", ["a", "b", "c"]),  # never closed: the tag alone is passed over
+    ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>", ["so x=2 holds"]),
+    ('<p>One <a title="x>link two</a> three</p>', ["One link two three"]),
+    ("<p>One</p><a href='x", ["One"]),
+    ("<p>a < b and c > d</p>", ["a < b and c > d"]),
+    ("<script>var a = '<p>no</p>'", []),
+    ("<p title='a>b'>t</p>", ["t"]),
+])
+def test_op9_blocks_of_odd_markup(page, want):
+    assert [b.text for b in op9.blocks_of(page)] == want
+
+
+def test_op9_vectors_take_all_words():
+    block = lambda n: op9.Block(" ".join(["same"] * 60 + ["end"] * n), ("p",), 0)
+    a, b = op9.vectors([block(0)], {}), op9.vectors([block(30)], {})
+    assert not np.array_equal(a[:, op9.PATH : op9.PATH + op9.WORDS], b[:, op9.PATH : op9.PATH + op9.WORDS])
+
+
 def test_op9_gradients_are_right():
     rng = np.random.default_rng(0)
     model = op9.Labeller(5, 3)
