@@ -36,6 +36,8 @@ WORDS, SEED = 3, 42
 #: Fingerprints link at so many differing bits at most.
 BITS = 3
 SEGMENTS, WIDTH = 4, 16
+#: Points that one task posts (64 rows of 16 bytes each).
+POINTS = 16_384
 #: Shingles whose bits are counted at once.
 _STEP = 1 << 16
 
@@ -115,7 +117,9 @@ def near(x: str, y: str, key: str) -> Column:
 
 def linked(spark: SparkSession, points: DataFrame) -> DataFrame:
     """(id, component) of the points (distinct ``fp``) that link with another one."""
-    posted = points.select("fp", F.explode(chain_keys("fp")).alias("key"))
+    # a point becomes 64 postings: the points are dealt out so that a task makes a bounded number of them
+    parts = -(-points.count() // POINTS) or 1
+    posted = points.repartition(parts).select("fp", F.explode(chain_keys("fp")).alias("key"))
     ends = posted.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low < high")
     shared = staged(spark, posted.join(ends, "key"), "shared-keys")
     centre = F.explode(F.array("low", "high"))
