@@ -37,7 +37,7 @@ END_ID = 0
 #: Steps of the projected gradient that fits the repeat counts.
 FIT_STEPS = 150
 #: Shares of the fitted repeats that are tried; the plan with the fewest sequences counts.
-SHARES = (1.0, 0.9, 0.75, 0.5, 0.25, 0.0)
+SHARES = (1.0, 0.9, 0.75, 0.5, 0.25)
 
 
 def _table(path: str | None) -> PartTable:
