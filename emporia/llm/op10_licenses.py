@@ -6,8 +6,12 @@ same way. Coverage is the share of the template's words that are matched.
 
 Where to look is exact, not a guess: a template's key words are chosen so that they make up more than
 1 - ``COVERAGE`` of its words, so an alignment of that coverage matches at least one of them. Each place
-of a key word in the text gives a stretch, the template laid over that word with some room. One map
-over whole texts, without a shuffle.
+of a key word in the text gives a stretch, the template laid over that word with some room. If that isn't
+enough, the stretch goes on to where the last key word stands that follows in the template's order, however
+far, and then to all of the text that is left: a text may have any number of foreign words inside (a page header,
+code, other clauses). In such a long stretch
+only words in runs of ``RUN`` or more count towards the coverage, since single words of a long text fall in
+order by chance. One map over whole texts, without a shuffle.
 
 Defined results. NULL or empty text: nothing found. Repeated rows are scanned each on its own. Of
 findings that overlap, the one with more matched words stays, then higher coverage, then the
@@ -28,6 +32,9 @@ from emporia.llm.common import with_small_batches
 from emporia.llm.license_texts import LICENSE_TEXTS
 
 COVERAGE = 0.75
+#: Least run of matched words that counts where a stretch has more room than the template. A template of fewer
+#: than two runs is a phrase: it is found within its room, or not at all.
+RUN = 4
 _WORD = re.compile(r"[^\W_]+(?:\.\d+)*")
 # Common words, the last choice for key words.
 _COMMON = set("the of and or to in is be a any this for with not you may without by all other use on that it from at as no".split())
@@ -83,6 +90,19 @@ def aligned(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def in_runs(pairs: list[tuple[int, int]], least: int = RUN) -> list[tuple[int, int]]:
+    """The pairs that lie in runs: so many or more that follow each other on both sides."""
+    out, run = [], []
+    for pair in [*pairs, None]:
+        if run and (pair is None or pair != (run[-1][0] + 1, run[-1][1] + 1)):
+            if len(run) >= least:
+                out += run
+            run = []
+        if pair is not None:
+            run.append(pair)
+    return out
+
+
 @dataclass
 class Finding:
     name: str
@@ -124,14 +144,35 @@ class Scanner:
         words, starts, ends = words_of(text)
         found: list[Finding] = []
         done: dict[str, int] = {}
+        whole: set[str] = set()  # templates that were held against all the rest of the text
+        places: dict[str, list[tuple[int, int, int]]] = {}  # a template's key words in the text: place, first and last place in the template
         for i, w in enumerate(words):
             for name, first, last in self.keys.get(w, ()):
+                places.setdefault(name, []).append((i, first, last))
+        for name, hits in places.items():
+            template = self.templates[name]
+            room = max(3, len(template) // 4)
+            tried = -1  # the end of the last long stretch: what lies in it isn't tried again
+            for k, (i, first, last) in enumerate(hits):
                 if i < done.get(name, 0):
                     continue
-                template = self.templates[name]
-                room = max(3, len(template) // 4)
                 lo, hi = max(0, i - last - room), min(len(words), i + len(template) - first + room)
                 pairs = aligned(template, words[lo:hi])
+                if len(pairs) < self.coverage * len(template) and i > tried:
+                    reach, at = hi, first
+                    for j, begin, end in hits[k + 1 :]:
+                        if j < reach or end > at:
+                            reach, at = max(reach, min(len(words), j + len(template) - begin + room)), max(at, begin)
+                    tried = max(reach if reach > hi else i, tried)
+                    if len(template) < 2 * RUN:
+                        continue
+                    if reach > hi:
+                        hi = reach
+                        pairs = in_runs(aligned(template, words[lo:hi]))
+                    if len(pairs) < self.coverage * len(template) and name not in whole:
+                        whole.add(name)  # what stands before its key words may be far off too
+                        lo, hi = done.get(name, 0), len(words)
+                        pairs = in_runs(aligned(template, words[lo:]))
                 if len(pairs) >= self.coverage * len(template):
                     a, b = lo + pairs[0][1], lo + pairs[-1][1]
                     found.append(Finding(name, starts[a], ends[b], len(pairs), len(pairs) / len(template)))

@@ -395,3 +395,24 @@ def test_op10_alignment_is_increasing_and_finds_shared_order():
     assert all(a[i] == b[j] for i, j in pairs)
     assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:], strict=False))
     assert len(pairs) >= 8
+
+
+@pytest.mark.parametrize("name, foreign", [(n, k) for n, t in sorted(op10.LICENSE_TEXTS.items()) for k in (0, 30, 200, 2000) if len(op10.words_of(t)[0]) >= 2 * op10.RUN or not k])
+def test_op10_finds_texts_with_foreign_words_inside(name, foreign):
+    template = op10.LICENSE_TEXTS[name].split()
+    middle = len(template) // 2
+    inside = [f"word{i % 37}x" for i in range(foreign)]
+    text = " ".join(["before", *template[:middle], *inside, *template[middle:], "after"])
+    found = [f for f in op10.Scanner(op10.LICENSE_TEXTS).find(text) if f.name == name]
+    assert len(found) == 1 and found[0].coverage >= op10.COVERAGE
+    assert text[found[0].start :].startswith(template[0].strip(".,;:()\"'")[:3]) or found[0].start > 0
+
+
+def test_op10_takes_no_license_from_scattered_words():
+    rng = __import__("random").Random(1)
+    for name, template in op10.LICENSE_TEXTS.items():
+        words = op10.words_of(template)[0]
+        text = " ".join(x for w in words for x in [w, *(f"f{rng.randint(0, 99)}" for _ in range(20))])  # all words, in order, one by one
+        assert not [f for f in op10.Scanner(op10.LICENSE_TEXTS).find(text) if f.name == name]
+    twice = op10.LICENSE_TEXTS[name]
+    assert len(op10.Scanner({name: twice}).find(f"{twice} {'x ' * 500} {twice}")) == 2
