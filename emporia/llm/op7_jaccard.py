@@ -7,7 +7,8 @@ with equal shingle sets are one point. Points go through two levels of pivots.
    floor(RADIUS * size) + 1 shingles of each in any common order. So each point is replicated to
    the cells of those shingles and no further. Shingles that a sample shows to be frequent come last
    in the order, which keeps passages that many documents share from forming cells.
-   Of cells with the same members one is kept.
+   Of cells with the same members the first is kept. Two members of a cell are only compared if, this being the
+   first shingle that both hold, what comes after it can be enough for a link.
 2. Centres within a cell. The cell's smallest point is its centre. Each point is measured against one centre at
    a time, the smallest of its cells' whose component it isn't in yet, and after some rounds against all
    that are left. Members within RADIUS of a centre are linked through it, without a pair among themselves. Only pairs of
@@ -203,9 +204,16 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         links.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
 
-def _near(a: str, b: str):
-    """Whether two set sizes allow a link."""
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+def _near(a: str, b: str, at_a: str | None = None, at_b: str | None = None):
+    """Whether two set sizes allow a link, where the first shingle that both hold stands at these places.
+
+    What stands before it is in one set alone, so the intersection is in the rest of either. A pair that shares
+    an earlier shingle is held against that one in its cell.
+    """
+    sizes = 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+    if at_a is None:
+        return sizes
+    return sizes & ((100 + PERCENT) * F.least(F.col(a) - F.col(at_a), F.col(b) - F.col(at_b)) >= PERCENT * (F.col(a) + F.col(b)))
 
 
 def _is_link():
@@ -221,11 +229,13 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id")
         "doc_id", "n", F.coalesce("class_id", "doc_id").alias("class_id"))
     classes = staged(spark, classes, "classes")
     reps = rows.filter("n > 0").join(classes.filter("doc_id = class_id").select("doc_id").distinct(), "doc_id", "left_semi")
-    posted = reps.select(F.col("doc_id").alias("id"), "n", F.explode("cells").alias("cell")).repartition("cell")
+    posted = reps.select(F.col("doc_id").alias("id"), "n", F.posexplode("cells").alias("pos", "cell")).repartition("cell")
     # one shuffle for both: a cell's members are summed up where they lie, and found there again
-    sets = posted.groupBy("cell").agg(F.min(F.struct("id", "n")).alias("c"), F.count(F.lit(1)).alias("members"),
+    sets = posted.groupBy("cell").agg(F.min(F.struct("id", "n", "pos")).alias("c"), F.count(F.lit(1)).alias("members"),
                                       *[F.bit_xor(F.xxhash64("id", F.lit(k))).alias(f"x{k}") for k in (1, 2)]).filter("members > 1")
-    cells = sets.groupBy("members", "x1", "x2").agg(F.min(F.struct("cell", "c")).alias("one")).select("one.cell", F.col("one.c.id").alias("centre"), F.col("one.c.n").alias("centre_n"))
+    first = F.min(F.struct(F.col("c.pos").alias("at"), "cell", "c")).alias("one")  # the first of them in the common order
+    cells = sets.groupBy("members", "x1", "x2").agg(first).select(
+        "one.cell", F.col("one.c.id").alias("centre"), F.col("one.c.n").alias("centre_n"), F.col("one.c.pos").alias("centre_pos"))
     cells = staged(spark, cells, "cell-sets")
     posted = staged(spark, posted.join(cells, "cell"), "cells")
 
@@ -240,7 +250,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id")
         return out
 
     name = lambda c: group.select(F.col("id").alias(c), F.col("component").alias(f"g_{c}"))
-    to_centre = posted.filter("id <> centre").filter(_near("n", "centre_n")).select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
+    to_centre = posted.filter("id <> centre").filter(_near("n", "centre_n", "pos", "centre_pos")).select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
     to_centre = staged(spark, to_centre, "to-centre")
     known = tried = group = None
     for turn in range(SINGLE + 1):
@@ -264,16 +274,17 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id")
         return named.join(split, "cell")
 
     away = known.select(F.col("a").alias("id"), F.col("b").alias("centre"), (1 - F.col("same") / F.col("either")).alias("d"))
-    rest = posted.join(away, ["id", "centre"], "left").select("cell", "id", "n", F.when(F.col("id") == F.col("centre"), F.lit(0.0)).otherwise(F.col("d")).alias("d"))
+    rest = posted.join(away, ["id", "centre"], "left").select("cell", "id", "n", "pos", F.when(F.col("id") == F.col("centre"), F.lit(0.0)).otherwise(F.col("d")).alias("d"))
     rest = staged(spark, unresolved(rest), "unresolved")
     for _ in range(ROUNDS):
         wide = rest.filter(F.col("members") > LEAF)
-        centres = wide.groupBy("cell", "g").agg(F.min(F.struct("id", "n")).alias("c"))
+        centres = wide.groupBy("cell", "g").agg(F.min(F.struct("id", "n", "pos")).alias("c"))
         firsts = centres.groupBy("cell").agg(F.min("g").alias("g1"), F.max("g").alias("g2"))
         # the centres of a cell's first and last component, for the members of its others
         two = firsts.join(centres.select("cell", "g", "c"), "cell").filter((F.col("g") == F.col("g1")) | (F.col("g") == F.col("g2")))
-        new = wide.select("cell", "id", "n", "g").join(two.select("cell", F.col("g").alias("cg"), F.col("c.id").alias("centre"), F.col("c.n").alias("centre_n")), "cell")
-        new = new.filter(F.col("g") != F.col("cg")).filter(_near("n", "centre_n"))
+        new = wide.select("cell", "id", "n", "pos", "g").join(two.select(
+            "cell", F.col("g").alias("cg"), F.col("c.id").alias("centre"), F.col("c.n").alias("centre_n"), F.col("c.pos").alias("centre_pos")), "cell")
+        new = new.filter(F.col("g") != F.col("cg")).filter(_near("n", "centre_n", "pos", "centre_pos"))
         new = new.select(F.greatest("id", "centre").alias("a"), F.least("id", "centre").alias("b")).distinct()
         new = staged(spark, new.join(tried, ["a", "b"], "left_anti"), "pairs")
         if new.isEmpty():
@@ -285,10 +296,11 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id")
         if found.isEmpty():
             break
         group = components(spark, known.filter(_is_link()).select("a", "b"))
-        rest = staged(spark, unresolved(rest.select("cell", "id", "n", "d")), "unresolved")
+        rest = staged(spark, unresolved(rest.select("cell", "id", "n", "pos", "d")), "unresolved")
 
-    left, right = rest.select("cell", "id", "n", "g", "d"), rest.select("cell", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("g").alias("gb"), F.col("d").alias("db"))
-    pairs = left.join(right, "cell").filter((F.col("g") != F.col("gb")) & (F.col("id") > F.col("b"))).filter(_near("n", "nb"))
+    left = rest.select("cell", "id", "n", "pos", "g", "d")
+    right = rest.select("cell", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("g").alias("gb"), F.col("d").alias("db"))
+    pairs = left.join(right, "cell").filter((F.col("g") != F.col("gb")) & (F.col("id") > F.col("b"))).filter(_near("n", "nb", "pos", "pb"))
     pairs = pairs.filter(F.coalesce(F.abs(F.col("d") - F.col("db")) <= RADIUS + 1e-9, F.lit(True)))
     pairs = pairs.select(F.col("id").alias("a"), "b").distinct()
     pairs = staged(spark, pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
