@@ -19,6 +19,9 @@ SPACE = r"[\x20\x09-\x0D]+"
 #: Bytes of text that one vectorised step works on; a longer document is one step of its own.
 CHUNK_BYTES = 2 << 20
 
+#: Spark's setting to remove an execution's shuffle files at its end.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _MULT = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
@@ -26,11 +29,16 @@ _MASK = (1 << 64) - 1
 def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the cluster's shared checkpoint folder and read it back.
 
-    Cuts the lineage: a lost executor costs the tasks that read the table, not those that made it.
+    Cuts the lineage: a lost executor costs the tasks that read the table, not those that made it. The shuffle
+    files of the write go when it ends, since nothing else reads them.
     """
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/emporia-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    spark.sparkContext._jvm.System.gc()  # lets Spark drop the shuffle files of what is written now
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_path = path
     return out
