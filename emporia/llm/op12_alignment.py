@@ -37,7 +37,9 @@ _B_BITS = 15
 #: Bytes of text that share a dictionary of pairs.
 BLOCK_BYTES = 32 << 20
 #: Parts that a worker remembers (with 20 linked pairs each on average); beyond it the memory starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
+#: Bytes of text whose links are sorted at once, and of parts that are encoded at once (a token takes some hundred bytes then).
+STEP_BYTES, ENCODED_BYTES = 512 << 10, 64 << 10
 
 
 def shared_cuts(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray) -> np.ndarray:
@@ -160,7 +162,24 @@ class PartAligner:
         self.pairs = np.zeros(0, np.uint32)
 
     def align(self, parts: list[bytes]) -> None:
-        """Appends the parts' alignments."""
+        """Appends the parts' alignments, made for a bounded number of bytes at a time."""
+        ends, made, first = np.cumsum([len(p) for p in parts]), [], 0
+        while first < len(parts):
+            done = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, done + ENCODED_BYTES, "right")))
+            made.append(self.aligned(parts[first:last]))
+            first = last
+        for groups, _, _ in made:
+            self.groups += groups
+        numbers = np.concatenate([n for _, n, _ in made])
+        links = numbers[:, 3]
+        begin = np.cumsum(links) - links + len(self.pairs)
+        self.numbers = np.concatenate([self.numbers, numbers])
+        self.start, self.size = np.concatenate([self.start, begin]), np.concatenate([self.size, links])
+        self.pairs = np.concatenate([self.pairs, *[c for _, _, c in made]])
+
+    def aligned(self, parts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The parts' groups as text, their numbers, and their linked pairs one after the other."""
         (ids_a, len_a, ok_a), (ids_b, len_b, ok_b) = self.encode(parts)
         ok = ok_a & ok_b
         ids_a, len_a, ids_b, len_b = ([x if y else [] for x, y in zip(v, ok, strict=True)] for v in (ids_a, len_a, ids_b, len_b))
@@ -181,11 +200,8 @@ class PartAligner:
             made.append(f"{','.join(name_a[i:p])}|{','.join(name_b[j:q])}")
             i, j = p, q
         first = np.concatenate([[0], np.cumsum(groups)]).tolist()
-        self.groups += [";".join(made[p:q]).encode() for p, q in pairwise(first)]
-        self.numbers = np.concatenate([self.numbers, np.stack([np.diff(a_at), np.diff(b_at), groups, links, ok], axis=1)])
-        begin = np.cumsum(links) - links + len(self.pairs)
-        self.start, self.size = np.concatenate([self.start, begin]), np.concatenate([self.size, links])
-        self.pairs = np.concatenate([self.pairs, code])
+        return ([";".join(made[p:q]).encode() for p, q in pairwise(first)],
+                np.stack([np.diff(a_at), np.diff(b_at), groups, links, ok], axis=1).astype(np.int64), code)
 
     def parts_of(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts, lengths and hashes of the parts; each row of ``data`` begins with a space."""
@@ -300,11 +316,15 @@ def aligned(docs: DataFrame, path_a: str | None = None, path_b: str | None = Non
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
         def dictionary():
-            return batch_of([(block(), *[None] * 9, pairs.in_order().tolist(), pairs.documents.tolist())])
+            row = batch_of([(block(), *[None] * 11)])
+            for name, numbers in (("codes", pairs.in_order().astype(np.int64)), ("documents", pairs.documents)):
+                whole = pa.ListArray.from_arrays(pa.array([0, len(numbers)], pa.int32()), pa.array(numbers))
+                row = row.set_column(names.index(name), name, whole)
+            return row
 
         for batch in batches:
             keys = batch.column(batch.schema.get_field_index(key)).to_pylist()
-            for first, data, at in text_chunks(batch, text):
+            for first, data, at in text_chunks(batch, text, STEP_BYTES):
                 n = len(at) - 1
                 some = np.diff(at) > 0
                 size = np.where(some, np.diff(at) + 1, 0)  # a space stands before each text
@@ -370,6 +390,7 @@ def alignment(docs: DataFrame, path_a: str | None = None, path_b: str | None = N
     def summed(left, right):
         import pyarrow as pa
 
+        worker_memory("alignment sums")  # the parts that this worker remembered are not needed any more
         place = right.column("place").to_numpy()
         n, best = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
         n[place], best[place] = right.column("n").to_numpy(), right.column("best").to_numpy(zero_copy_only=False)

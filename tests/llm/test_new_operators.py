@@ -163,6 +163,17 @@ def test_small_blocks_and_forgetful_workers_change_nothing(corpus, monkeypatch):
     assert rows_of(op12.alignment(docs)) == want
 
 
+def test_parts_are_encoded_a_bounded_number_of_bytes_at_a_time():
+    aligner = op12.PartAligner()
+    sizes, real = [], aligner.encode
+    aligner.encode = lambda parts: sizes.append(sum(map(len, parts))) or real(parts)
+    parts = [f" w{i} and more".encode() for i in range(20_000)]
+    aligner.align(parts)
+    assert sum(sizes) == sum(map(len, parts)) and max(sizes) <= 64 << 10
+    assert len(aligner.groups) == len(aligner.numbers) == len(parts) and aligner.size.sum() == len(aligner.pairs)
+    assert (aligner.start[1:] == aligner.start[:-1] + aligner.size[:-1]).all()
+
+
 def test_shared_cuts_are_the_common_ends():
     rng = np.random.default_rng(5)
     for _ in range(200):
