@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import string
 import zlib
@@ -296,6 +297,24 @@ def test_op7_chains_and_large_groups(spark, words):
     assert {r.doc_id: r.component_id for r in op7.jaccard_components(docs).collect()} == want
 
 
+def test_op7_cells_in_turns_and_few_pairs_of_a_group_without_links(spark, words, monkeypatch):
+    """A turn's rows are those of its cells, and a pair that the bound rules out isn't written."""
+    made, real = [], op7.staged
+    monkeypatch.setattr(op7, "staged", lambda s, df, name: made.append((name, out := real(s, df, name))) or out)
+    monkeypatch.setattr(op7, "discard", lambda *tables: None)
+    rng = random.Random(5)  # each text has 18 of 24 passages
+    rows = [(i, " ".join(f"p{j}w{k}" for j in sorted(rng.sample(range(24), 18)) for k in range(20))) for i in range(70)]
+    rows += [(100 + i, " ".join([*words[100:200], f"e{i}"])) for i in range(5)]
+    got = op7.jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute_components(shingle_sets(rows))
+    turns = [t for n, t in made if n == "shared"]
+    assert len(turns) == op7.TURNS and all(t.filter(F.pmod("cell", F.lit(len(turns))) != i).count() == 0 for i, t in enumerate(turns))
+    assert [t for n, t in made if n == "counted"][0].count() > 70
+    folds = [t for n, t in made if n == "folds"][0]
+    last = [t for n, t in made if n == "pairs"][-1]
+    assert op7.possible(last, folds).count() == last.count()
+
+
 def test_op8_base_spans_and_added_ones(spark, corpus, texts, empty):
     model = op8.train(corpus)
     secret = "q9Zt3Lx0PvB7nYc2KdW8hRfJ5mXs"
