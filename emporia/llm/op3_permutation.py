@@ -3,9 +3,11 @@
 Pivots are a bounded sample of the vectors. Every vector is represented by the order of its
 ``ORDER`` nearest pivots, and posted to the pivot inverted files of its ``POSTED`` nearest ones, each
 split into blocks of at most about ``BLOCK`` entries. A query visits the files of its ``VISITED`` nearest
-pivots, ranks their entries by the footrule distance between the orders (a pivot that is missing
-from an order has rank ORDER), and reranks the nearest ``RERANKED`` share of each block, and never
-fewer than asked for, by the exact inner product in double precision.
+pivots, ranks their entries by Spearman's distance between the orders (the sum of squared differences
+of ranks; a pivot that is missing from an order has rank ORDER), and reranks the nearest ``RERANKED``
+share of each block, and never fewer than asked for, by the exact inner product in double precision.
+Spearman's distance is a product of the rank vectors but for their own lengths, so the queries and
+entries of a block are ranked together, by one product of matrices.
 
 Pivots are compared by inner product after division by the vector's length, so the order does not
 depend on it; for the exact measure the original vectors count. An entry posted to several
@@ -32,8 +34,8 @@ POSTED = 4
 VISITED = 64
 RERANKED = 0.1
 BLOCK = 4096
-#: Queries that a group holds at most, about.
-QUERIES = 512
+#: Queries that a group holds at most, about (entries are dealt out once for each), and that are ranked at once.
+QUERIES, AT_ONCE = 8192, 128
 
 
 def usable(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -60,7 +62,7 @@ def ordered(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            v = np.array(batch.column(1).to_pylist(), float).reshape(batch.num_rows, pivots.shape[1])
+            v = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, pivots.shape[1])
             ranks = _orders(v / np.linalg.norm(v, axis=1, keepdims=True), pivots)
             near = np.argsort(ranks, axis=1, kind="stable")[:, : min(ORDER, len(pivots))].astype(np.int16)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(list(near), pa.list_(pa.int16()))], names=["id", "v", "near"])
@@ -102,10 +104,10 @@ def nearest(vectors: DataFrame, k: int = 20, is_query=None, key: str = "vec_id",
         import pyarrow as pa
 
         def side_of(t):
-            near = np.array(t.column("near").to_pylist(), np.int64).reshape(t.num_rows, -1)
+            near = t.column("near").combine_chunks().flatten().to_numpy().astype(np.int64).reshape(t.num_rows, -1)
             ranks = np.full((t.num_rows, n_pivots), ORDER, np.int16)
             np.put_along_axis(ranks, near, np.arange(near.shape[1], dtype=np.int16)[None, :], axis=1)
-            v = np.array(t.column("v").to_pylist(), float).reshape(t.num_rows, -1)
+            v = t.column("v").combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1)
             return t.column("id").to_numpy(), v, near, ranks
 
         if not left.num_rows or not right.num_rows:
@@ -114,18 +116,27 @@ def nearest(vectors: DataFrame, k: int = 20, is_query=None, key: str = "vec_id",
         ids, v, near, ranks = side_of(right)
         order = np.argsort(ids)
         ids, v, near, ranks = ids[order], v[order], near[order], ranks[order]
+        qids, qv, qnear, qranks = side_of(left)
+        posted, low = near[:, :n_posted], ranks.astype(np.float32)
+        own_length = (low * low).sum(axis=1)
+        kept = min(len(ids), max(k + 1, int(np.ceil(RERANKED * len(ids)))))
         out = []
-        for q, qv, qnear, qranks in zip(*side_of(left), strict=True):
-            seen = np.zeros(n_pivots, bool)
-            seen[qnear[:n_visited]] = True
-            posted = near[:, :n_posted]
-            first = posted[np.arange(len(posted)), seen[posted].argmax(axis=1)]
-            own = np.flatnonzero((first == file) & (ids != q))
-            foot = np.abs(ranks[own] - qranks).sum(axis=1, dtype=np.int32)
-            some = own[np.argsort(foot, kind="stable")[: max(k, int(np.ceil(RERANKED * len(ids))))]]
-            score = np.array([float(np.dot(x, qv)) for x in v[some]]) if len(some) < 8 else np.einsum("ij,j->i", v[some], qv)
-            best = np.lexsort((ids[some], -score))[:k]
-            out.append((np.full(len(best), q), ids[some][best], score[best]))
+        for begin in range(0, len(qids), AT_ONCE):
+            part = slice(begin, begin + AT_ONCE)
+            seen = np.zeros((len(qids[part]), n_pivots), bool)
+            np.put_along_axis(seen, qnear[part, :n_visited], True, axis=1)
+            # an entry counts in the first of its files that the query visits
+            first = np.full((len(seen), len(ids)), -1, np.int16)
+            for i in reversed(range(posted.shape[1])):
+                first = np.where(seen[:, posted[:, i]], posted[:, i].astype(np.int16), first)
+            far = own_length - 2 * (qranks[part].astype(np.float32) @ low.T)  # exact: whole numbers below 2^24
+            far[(first != file) | (qids[part][:, None] == ids)] = np.inf
+            some = np.argpartition(far, kept - 1, axis=1)[:, :kept]
+            for q, one, own, d in zip(qids[part], qv[part], some, np.take_along_axis(far, some, axis=1), strict=True):
+                own = own[d < np.inf]
+                score = np.array([float(np.dot(x, one)) for x in v[own]]) if len(own) < 8 else np.einsum("ij,j->i", v[own], one)
+                best = np.lexsort((ids[own], -score))[:k]
+                out.append((np.full(len(best), q), ids[own][best], score[best]))
         return pa.table({n: np.concatenate(c) for n, c in zip(("query_id", "vec_id", "score"), zip(*out, strict=True), strict=True)})
 
     found = visits.groupBy("file", "lot", "part").cogroup(entries.groupBy("file", "lot", "part")).applyInArrow(rank, schema)

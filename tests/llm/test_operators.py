@@ -151,6 +151,15 @@ def test_op3_recall_scores_and_ties(spark):
     assert hits >= 0.9 * 20 * len(found)
 
 
+def test_op3_groups_of_queries_change_nothing(spark, monkeypatch):
+    table, _ = vectors(spark)
+    want = sorted(map(tuple, op3.nearest(table).collect()))
+    assert op3.QUERIES >= 4096  # entries are dealt out once for so many queries
+    monkeypatch.setattr(op3, "QUERIES", 13)
+    monkeypatch.setattr(op3, "AT_ONCE", 7)
+    assert sorted(map(tuple, op3.nearest(table).collect())) == want
+
+
 def test_op3_few_candidates_and_empty(spark):
     table, _ = vectors(spark)
     few = op3.nearest(table.filter("vec_id < 5")).collect()
