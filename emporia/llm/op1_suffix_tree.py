@@ -47,8 +47,6 @@ MAX_DEPTH = 6
 MIN_SHARE = 1e-5
 MIN_GAIN = 5e-8
 PRIOR = 4.0
-#: A next byte rarer than this share of all symbols counts as unseen after its context.
-MIN_NEXT = MIN_SHARE / 10
 #: Chance that a token is spelled by the tree, not drawn from the training counts.
 SPELLED = 0.5
 #: Bytes of text in a block, about.
@@ -280,25 +278,25 @@ def train_tree(train: DataFrame, text: str = "text") -> SuffixTree:
     total = counts.filter("depth = 0").agg(F.sum("n")).first()[0] or 0
     frequent = counts.filter(F.col("n") >= max(1.0, MIN_SHARE * total)).filter(F.col("depth") < MAX_DEPTH)
     frequent = frequent.select((F.col("depth") + 1).alias("depth"), "key", "n")
-    nexts = counts.filter(F.col("n") >= MIN_NEXT * total).withColumn("context", F.shiftleft("key", 8).bitwiseAND(F.lit((1 << _BITS) - 1)))
+    nexts = counts.withColumn("context", F.shiftleft("key", 8).bitwiseAND(F.lit((1 << _BITS) - 1)))
     ends = F.shiftright("key", _BITS - 8) == _END  # nothing follows an end, so it is a context only as the start mark
     contexts = frequent.filter(~ends | (F.col("depth") == 1))
     nexts = nexts.join(contexts.select("depth", F.col("key").alias("context")), ["depth", "context"], "left_semi").unionByName(
         counts.filter("depth = 0").withColumn("context", F.lit(0).cast("bigint")))
-    c = contexts.select("depth", "key", "n").toPandas()  # at most MAX_DEPTH / MIN_SHARE rows
-    e = nexts.select("depth", "key", "n").toPandas()  # at most MAX_DEPTH / MIN_NEXT rows and one per byte
+    columns = lambda df: [x.to_numpy() for x in df.select("depth", "key", "n").toArrow().columns]
+    c_depth, c_key, c_n = columns(contexts)  # at most MAX_DEPTH / MIN_SHARE rows
+    e_depth, e_key, e_n = columns(nexts)  # every byte that follows one of them, however rare: at most 256 rows for each
     # A context whose suffix fell below the share by rounding goes too (counts at row starts differ by the start mark).
-    have = {(0, 0)} | set(zip(c["depth"].tolist(), c["key"].tolist(), strict=True))
+    have = {(0, 0)} | set(zip(c_depth.tolist(), c_key.tolist(), strict=True))
     cut = lambda d, k: (d - 1, k >> (_BITS - 8 * (d - 1)) << (_BITS - 8 * (d - 1)))
     for d in range(2, MAX_DEPTH + 1):
         have -= {s for s in have if s[0] == d and (cut(*s) not in have or (d - 1, s[1] << 8 & (1 << _BITS) - 1) not in have)}
-    ok = [s in have for s in zip(c["depth"].tolist(), c["key"].tolist(), strict=True)]
-    c = c[np.array(ok, bool)]
-    ok = [d == 0 or (d, k << 8 & (1 << _BITS) - 1) in have for d, k in zip(e["depth"].tolist(), e["key"].tolist(), strict=True)]
-    e = e[np.array(ok, bool)]
-    as_key = lambda x: x.to_numpy().astype(np.uint64)
-    return build_tree(as_key(c["key"]), c["depth"].to_numpy(), c["n"].to_numpy().astype(float), as_key(e["key"]), e["depth"].to_numpy(),
-                      e["n"].to_numpy().astype(float), int(total))
+    ok = np.array([s in have for s in zip(c_depth.tolist(), c_key.tolist(), strict=True)], bool)
+    c_depth, c_key, c_n = c_depth[ok], c_key[ok], c_n[ok]
+    ok = e_depth == 0
+    for d in range(1, MAX_DEPTH + 1):
+        ok |= (e_depth == d) & np.isin(e_key << 8 & (1 << _BITS) - 1, c_key[c_depth == d])
+    return build_tree(c_key.astype(np.uint64), c_depth, c_n.astype(float), e_key[ok].astype(np.uint64), e_depth[ok], e_n[ok].astype(float), int(total))
 
 
 def _batches(table) -> Iterator:

@@ -68,6 +68,13 @@ def test_op1_tree_is_a_distribution_and_uses_the_longest_suffix(corpus, texts):
     assert np.allclose(tree.symbol_scores(stream), slow)
 
 
+def test_op1_rare_next_bytes_are_counted(spark):
+    """One "aq" among 400,000 "ab": a share of 8e-7 of all symbols is no reason to call it unseen."""
+    tree = op1.train_tree(spark.createDataFrame([("ab " * 400_000 + "aq",)], "text string"))
+    after_a = tree.following[0, tree.symbol[ord("a")]]
+    assert after_a and tree.log10[after_a, tree.symbol[ord("q")]] > -6
+
+
 def test_op1_empty(empty):
     assert op1.score_documents(empty, F.lit(False)).count() == 0
 
