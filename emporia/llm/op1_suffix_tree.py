@@ -40,7 +40,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from emporia.llm.common import Powers, _LOWER, crc_of, staged, text_chunks, with_small_batches, word_hashes, word_spans
+from emporia.llm.common import Powers, _LOWER, crc_of, release_memory, staged, text_chunks, with_small_batches, word_hashes, word_spans
 from emporia.llm.parts import spread
 
 MAX_DEPTH = 6
@@ -51,8 +51,12 @@ PRIOR = 4.0
 SPELLED = 0.5
 #: Bytes of text in a block, about.
 BLOCK_BYTES = 12 << 20
+#: Bytes of text that are worked on at once, about: each takes some 100 bytes of memory meanwhile.
+STEP_BYTES = 512 << 10
 #: Distinct strings that a counting task holds before it hands them on.
 HELD = 3_000_000
+#: Strings that wait to be summed with those that it holds, at least; beyond it half as many as it holds.
+WAITING = 500_000
 
 _END, _SPACE = 10, 32
 _LN10 = math.log(10)
@@ -124,25 +128,28 @@ def string_counts(train: DataFrame, text: str = "text") -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        def out(parts: list) -> Iterator:
-            keys, counts = summed(np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts]))
-            for d, k, n in depths(keys, counts):
-                for i in range(0, len(k), 1 << 18):
-                    piece = k[i : i + (1 << 18)].astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(piece), d, np.int32)), pa.array(piece), pa.array(n[i : i + (1 << 18)].astype(np.int64))],
+        def merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
+            return summed(np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts])) if len(parts) > 1 else parts[0]
+
+        def out(held: tuple) -> Iterator:
+            for d, k, n in depths(*held):
+                for i in range(0, len(k), 1 << 16):
+                    piece = k[i : i + (1 << 16)].astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(piece), d, np.int32)), pa.array(piece), pa.array(n[i : i + (1 << 16)].astype(np.int64))],
                                                      names=["depth", "key", "n"])
 
-        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        parts: list[tuple[np.ndarray, np.ndarray]] = []  # the first is what was summed so far
         for batch in batches:
-            for _, data, at in text_chunks(batch, text):
+            for _, data, at in text_chunks(batch, text, STEP_BYTES):
                 parts.append(summed(strings(spelled(data, at)[0])))
-                if sum(len(k) for k, _ in parts) > HELD:
-                    parts = [summed(np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts]))]
+                if sum(len(k) for k, _ in parts[1:]) > max(min(WAITING, HELD), len(parts[0][0]) // 2):
+                    parts = [merged(parts)]
                     if len(parts[0][0]) > HELD // 2:
-                        yield from out(parts)
-                        parts = []
+                        yield from out(parts.pop())
         if parts:
-            yield from out(parts)
+            yield from out(merged(parts))
+        parts.clear()
+        release_memory()
 
     rows = train.select(F.col(text)).mapInArrow(run, "depth int, key bigint, n bigint")
     return rows.groupBy("depth", "key").agg(F.sum("n").alias("n"))
@@ -299,10 +306,6 @@ def train_tree(train: DataFrame, text: str = "text") -> SuffixTree:
     return build_tree(c_key.astype(np.uint64), c_depth, c_n.astype(float), e_key[ok].astype(np.uint64), e_depth[ok], e_n[ok].astype(float), int(total))
 
 
-def _batches(table) -> Iterator:
-    return iter(table.combine_chunks().to_batches()) if table.num_rows else iter(())
-
-
 def block_words(blocks: DataFrame) -> DataFrame:
     """(hash, block, n): the distinct words of each block and how often its training texts have them."""
     def count(table):
@@ -310,14 +313,16 @@ def block_words(blocks: DataFrame) -> DataFrame:
 
         powers, keys, counts = Powers(), [], []
         block = table.column("block")[0].as_py()
-        for batch in _batches(table):
+        for batch in table.to_batches():
             trained = batch.column("train").to_numpy(zero_copy_only=False)
-            for first, data, at in text_chunks(batch):
+            for first, data, at in text_chunks(batch, size=STEP_BYTES):
                 words, rows = word_hashes(data, at, powers)
                 one, back = np.unique(words, return_inverse=True)
                 keys.append(one)
                 counts.append(np.bincount(back, trained[first + rows], len(one)).astype(np.int64))
         k, n = summed(np.concatenate(keys), np.concatenate(counts))
+        del keys, counts, powers
+        release_memory()
         return pa.table({"hash": k.view(np.int64), "block": np.full(len(k), block, np.int64), "n": n})
 
     return blocks.groupBy("block").applyInArrow(count, "hash bigint, block bigint, n bigint")
@@ -346,8 +351,8 @@ def score_documents(docs: DataFrame, held_out, text: str = "text", key: str = "d
         hashes, counts = hashes[order], right.column("c").to_numpy()[order]
         powers, out = Powers(), []
         below = math.log10(tokens + 0.5 * (distinct + 1))
-        for batch in _batches(left):
-            for first, data, at in text_chunks(batch):
+        for batch in left.to_batches():
+            for first, data, at in text_chunks(batch, size=STEP_BYTES):
                 n = len(at) - 1
                 got, row = word_hashes(data, at, powers)
                 c = counts[np.searchsorted(hashes, got)] if len(got) else np.zeros(0)
@@ -358,6 +363,8 @@ def score_documents(docs: DataFrame, held_out, text: str = "text", key: str = "d
                 ids, trained = (batch.column(x).slice(first, n) for x in ("doc_id", "train"))
                 out.append(pa.table({"doc_id": ids, "held_out": pa.array(~trained.to_numpy(zero_copy_only=False)), "n_tokens": n_tokens.astype(np.int64),
                                      "n_known": n_known, "train_tokens": np.full(n, tokens, np.int64), "base_score": base, "score": typed, "spelled_score": spelled_out}))
+        del powers, hashes, counts
+        release_memory()
         return pa.concat_tables(out)
 
     schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, spelled_score double"
