@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm.common import _LOWER, crc_of, text_chunks, with_small_batches, word_spans
+from emporia.llm.common import _LOWER, crc_of, release_memory, text_chunks, with_small_batches, word_spans, worker_memory
 
 #: A trigram below this share of its language's trigrams counts as unseen.
 MIN_SHARE = 1e-6
@@ -33,6 +33,8 @@ ROUNDS = 12
 PENALTY = 6.0
 #: Bytes scored at a time.
 STEP = 1 << 20
+#: Bytes counted at a time, about.
+COUNT_BYTES = 512 << 10
 UNKNOWN = "und"
 
 
@@ -55,10 +57,11 @@ def trigram_counts(train: DataFrame, text: str = "text", lang: str = "lang") ->
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        worker_memory("language")
         held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
             langs = np.array(batch.column(batch.schema.get_field_index(lang)).to_pylist(), object)
-            for first, data, at in text_chunks(batch, text):
+            for first, data, at in text_chunks(batch, text, COUNT_BYTES):
                 grams = trigrams(data, at)
                 own = np.repeat(np.arange(len(at) - 1), np.diff(at))
                 names, code = np.unique(langs[first : first + len(at) - 1].astype(str), return_inverse=True)
@@ -72,6 +75,7 @@ def trigram_counts(train: DataFrame, text: str = "text", lang: str = "lang") ->
                     held[name] = g, c
         for name, (g, c) in held.items():
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(g)), pa.array(g.astype(np.int32)), pa.array(c.astype(np.int64))], names=["lang", "gram", "n"])
+        release_memory()
 
     rows = with_small_batches(train).filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(lang, text)
     return rows.mapInArrow(run, "lang string, gram int, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -173,6 +177,7 @@ def identified(docs: DataFrame, model: LanguageModel, text: str = "text") -> Dat
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        worker_memory("language")
         names = np.array([*model.languages, UNKNOWN], object)
         for batch in batches:
             pred, score, sets = [], [], []
@@ -186,6 +191,7 @@ def identified(docs: DataFrame, model: LanguageModel, text: str = "text") -> Dat
                 sets += [[names[j] for j in o if s[j] > 0] if f else [] for o, s, f in zip(order, share, found, strict=True)]
             made = [pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(sets, pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(f.name)) for f in kept] + made, names=[f.name for f in kept] + new)
+        release_memory()
 
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
     return docs.mapInArrow(run, schema + "lang_pred string, score double, languages array<string>")

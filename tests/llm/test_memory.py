@@ -1,12 +1,16 @@
 """What Python workers hold while they work, and what they keep afterwards."""
 
+import subprocess
+import sys
 import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from emporia.llm import op1_suffix_tree as op1
+from emporia.llm import op6_language as op6
 
 MB = 1 << 20
 
@@ -72,3 +76,39 @@ def test_op1_strings_are_summed_however_seldom_they_are_handed_on(batches, monke
     monkeypatch.setattr(op1, "HELD", 3_000_000)
     monkeypatch.setattr(op1, "WAITING", 1000)
     assert sums() == want
+
+
+def test_op6_counts_in_small_steps(batches, spark, monkeypatch):  # noqa: ARG001
+    frame = Captured()
+    monkeypatch.setattr(op6, "with_small_batches", lambda df: df)
+    op6.trigram_counts(frame)
+    assert peak(lambda: drained(frame.run, batches)) < 35
+
+
+def test_a_worker_hands_back_the_memory_of_another_operator():
+    code = """
+import re
+import numpy, pyarrow
+from emporia.llm.common import worker_memory
+rss = lambda: int(re.search(r"VmRSS:\\s+(\\d+)", open("/proc/self/status").read())[1]) / 1024
+kept = worker_memory("one")
+kept["table"] = [bytearray(50_000) for _ in range(3000)]
+last = bytearray(50_000)  # on top of the heap
+before = rss()
+worker_memory("another")
+print(before - rss())
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, timeout=120)
+    assert float(out.stdout) > 100
+
+
+def test_op2_learnt_starts_take_no_workers(spark, words, monkeypatch):  # noqa: ARG001
+    from emporia.llm import op2_quality
+
+    made, real = [], type(spark).createDataFrame
+    rows = [(i, "you fool " + " ".join(words[i : i + 60]) if i % 2 else " ".join(words[i : i + 60]), "aa", int(i % 2)) for i in range(200)]
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id bigint, text string, lang string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **b: made.append(type(data)) or real(self, data, *a, **b))
+    op2_quality.learn_starts(docs, labels)
+    assert all(kind is pa.Table for kind in made)
