@@ -140,7 +140,7 @@ def learn_starts(docs: DataFrame, labels: DataFrame, text: str = "text", lang: s
     best = [(r.lang, x.start) for r in ranked for x in r.c]
     if not best:
         return {}
-    # an Arrow table: rows of Python objects would take workers of another kind, with a daemon of their own
+    # an Arrow table: rows of Python objects would go through Python workers
     wanted = docs.sparkSession.createDataFrame(pa.table({"l": pa.array([x for x, _ in best], pa.string()), "s": pa.array([x for _, x in best], pa.string())}))
     occurs = defaultdict(lambda: defaultdict(list))
     for r in per_doc.join(F.broadcast(wanted), F.col("lang").eqNullSafe(F.col("l")) & (F.col("start") == F.col("s"))).select("row", "lang", "toxic", "start", "c").collect():
