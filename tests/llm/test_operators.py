@@ -331,6 +331,41 @@ def test_op7_cells_in_turns_and_few_pairs_of_a_group_without_links(spark, words,
     assert op7.possible(last, folds).count() == last.count()
 
 
+def test_op7_group_around_one_text_and_turns_of_measuring(spark, words, monkeypatch):
+    """Copies of one text, whatever its id, are joined through it with few pairs; pairs are measured a share at a time."""
+    made, real = [], op7.staged
+    monkeypatch.setattr(op7, "staged", lambda s, df, name: made.append((name, out := real(s, df, name))) or out)
+    monkeypatch.setattr(op7, "discard", lambda *tables: None)
+    rng = random.Random(9)
+    monkeypatch.setattr(op7, "LEAST_PAIRS", 1)
+    base = [f"{w}{i}" for i, w in enumerate((words * 3)[:160])]
+    rows = [(705, " ".join(base))]
+    for i in range(240):  # a text is near enough to the base or to few; many are near enough to some other
+        other = set(rng.sample(range(160), rng.choice([1, 2, 3, 4, 7])))
+        rows.append((10 * i, " ".join(f"c{i}x{k}" if k in other else w for k, w in enumerate(base))))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r.doc_id: r.component_id for r in op7.jaccard_components(docs).collect()} == brute_components(shingle_sets(rows))
+    counts = [t.count() for n, t in made if n == "measured"]
+    assert sum(counts) < 6 * len(rows) and max(counts) < 1.5 * len(rows)
+
+
+def test_op7_many_pairs_are_measured_a_share_at_a_time(spark, words, monkeypatch):
+    """Points that are all nearly, but hardly ever quite, within the radius: every pair is measured, in bounded turns."""
+    made, real = [], op7.staged
+    monkeypatch.setattr(op7, "staged", lambda s, df, name: made.append((name, out := real(s, df, name))) or out)
+    monkeypatch.setattr(op7, "discard", lambda *tables: None)
+    monkeypatch.setattr(op7, "LEAST_PAIRS", 1)
+    monkeypatch.setattr(op7, "SINGLE", 1)
+    base = [f"{w}{i}" for i, w in enumerate((words * 3)[:160])]
+    rows = [(i, " ".join(f"c{i}" if k in (8 * i + 3, 8 * i + 23 - 15 * (i % 5 == 0)) else w for k, w in enumerate(base))) for i in range(16)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = brute_components(shingle_sets(rows))
+    assert 1 < len(set(want.values())) < 16
+    assert {r.doc_id: r.component_id for r in op7.jaccard_components(docs).collect()} == want
+    counts = [t.count() for n, t in made if n == "measured"]
+    assert sum(counts) > 3 * len(rows) and max(counts) <= 2 * len(rows)
+
+
 def test_op8_base_spans_and_added_ones(spark, corpus, texts, empty):
     model = op8.train(corpus)
     secret = "q9Zt3Lx0PvB7nYc2KdW8hRfJ5mXs"
