@@ -115,13 +115,22 @@ def near(x: str, y: str, key: str) -> Column:
     return F.expr(f"{three} <= {BITS - 1} and bit_count({x} ^ {y}) <= {BITS}")
 
 
+def shared_keys(posted: DataFrame) -> DataFrame:
+    """(key, fp, low, high): the postings under keys that two points or more share, with the key's smallest and largest point.
+
+    Spark takes the postings of an explode for as large as the points that they are made from, so it would send all
+    of them to every executor through the driver: the join's kind is named.
+    """
+    ends = posted.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low < high")
+    return posted.join(ends.hint("merge"), "key")
+
+
 def linked(spark: SparkSession, points: DataFrame) -> DataFrame:
     """(id, component) of the points (distinct ``fp``) that link with another one."""
     # a point becomes 64 postings: the points are dealt out so that a task makes a bounded number of them
     parts = -(-points.count() // POINTS) or 1
     posted = points.repartition(parts).select("fp", F.explode(chain_keys("fp")).alias("key"))
-    ends = posted.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low < high")
-    shared = staged(spark, posted.join(ends, "key"), "shared-keys")
+    shared = staged(spark, shared_keys(posted), "shared-keys")
     centre = F.explode(F.array("low", "high"))
     stars = shared.select("fp", "key", centre.alias("c")).filter(F.col("fp") != F.col("c")).filter(near("fp", "c", "key"))
     stars = staged(spark, stars.select(F.greatest("fp", "c").alias("a"), F.least("fp", "c").alias("b")).distinct(), "stars")
